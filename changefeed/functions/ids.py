@@ -58,7 +58,14 @@ def uuid_or_null(text: Column) -> Column:
 def json_string(text: Column) -> Column:
     """``text`` as a JSON string literal."""
     wrapped = F.to_json(F.struct(text.alias("s")))  # {"s":"..."}
-    return F.substr(wrapped, F.lit(6), F.length(wrapped) - F.lit(6))
+    # Most keys and names need no escape.
+    return F.when(text.rlike(r"^[ !#-\[\]-~]*$"), F.concat(F.lit('"'), text, F.lit('"'))).otherwise(
+        F.substr(wrapped, F.lit(6), F.length(wrapped) - F.lit(6))
+    )
+
+
+# A number with a fraction or an exponent; may also match inside a string.
+_FRACTION = r"[:,\[]\s*-?\d+[.eE]"
 
 
 def fingerprint(
@@ -71,15 +78,18 @@ def fingerprint(
     entity_version: Column,
     occurred_at: Column,
     payload: Column,
-    payload_shape: Column,
+    payload_variant: Column,
+    written: Column,
 ) -> Column:
     """SHA-256 over the fields that make two records the same change.
 
     The text is compact JSON with sorted keys. ``captured_at`` and ``batch_id``
     differ between deliveries of one change and stay out. ``payload`` is the text
     of a variant, which shows 1.0 as 1; where it holds fractional numbers its type
-    is added, so that an integer and a float never look alike.
+    is added, so that an integer and a float never look alike. ``written``, the
+    record as it came, tells cheaply whether there can be any.
     """
+    shape = F.schema_of_variant(payload_variant)
     text = F.concat(
         F.lit('{"entity_key":'), json_string(entity_key),
         F.lit(',"entity_type":'), json_string(entity_type),
@@ -89,6 +99,8 @@ def fingerprint(
         F.lit('","payload":'), payload,
         F.lit(',"source":{"object":'), json_string(source_object),
         F.lit(',"system":'), json_string(system), F.lit("}}"),
-        F.when(payload_shape.rlike("DECIMAL|DOUBLE|FLOAT"), payload_shape).otherwise(F.lit("")),
+        F.when(written.rlike(_FRACTION) & shape.rlike("DECIMAL|DOUBLE|FLOAT"), shape).otherwise(
+            F.lit("")
+        ),
     )
     return F.sha2(text, 256)

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from datetime import UTC, datetime, timedelta
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+_EPOCH = datetime(1970, 1, 1, tzinfo=UTC)
+
 OFFSET_TIMESTAMP = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{1,9})?(Z|[+-]\d{2}:\d{2})$"
 NAIVE_TIMESTAMP = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?$"
 ISO_DATE = r"^\d{4}-\d{2}-\d{2}$"
@@ -15,6 +19,17 @@ ISO_TIMESTAMP = (
 HAS_OFFSET = r"(Z|[+-]\d{2}(:?\d{2})?)$"
 
 
+def moment(value: datetime) -> Column:
+    """A literal timestamp. ``F.lit`` would read a naive one in the local zone."""
+    aware = value if value.tzinfo is not None else value.replace(tzinfo=UTC)
+    return F.timestamp_micros(F.lit((aware - _EPOCH) // timedelta(microseconds=1)))
+
+
+def from_micros(micros: int | None) -> datetime | None:
+    """``unix_micros`` of a collected row as an aware datetime."""
+    return None if micros is None else _EPOCH + timedelta(microseconds=micros)
+
+
 def _iso(moment: Column) -> Column:
     fraction = F.pmod(F.unix_micros(moment), F.lit(1_000_000))
     return F.concat(

@@ -36,14 +36,11 @@ UNSTORABLE = "unsupported Unicode escape sequence"
 
 def examine(records: DataFrame, rules: RuleSet) -> DataFrame:
     """Decode the records and run the rules: all that a record tells by itself."""
-    evaluated = rules.evaluate(decode(records)).withColumn("ord", log_order())
+    evaluated = rules.evaluate(decode(records))
     is_event = F.size("errors") == 0
-    content = evaluated.withColumn("_shape", F.schema_of_variant("payload")).withColumn(
-        "_payload", F.to_json("payload")
-    )
-    return content.select(
-        *[name for name in evaluated.columns if name != "payload"],
-        F.col("_payload").alias("payload"),
+    return evaluated.select(
+        *[name for name in evaluated.columns if name != "payload_variant"],
+        log_order().alias("ord"),
         F.when(
             is_event,
             ids.fingerprint(
@@ -54,13 +51,14 @@ def examine(records: DataFrame, rules: RuleSet) -> DataFrame:
                 entity_key=F.col("entity_key"),
                 entity_version=F.col("entity_version"),
                 occurred_at=F.col("occurred_at"),
-                payload=F.col("_payload"),
-                payload_shape=F.col("_shape"),
+                payload=F.col("payload"),
+                payload_variant=F.col("payload_variant"),
+                written=F.col("value").cast("string"),
             ),
         ).alias("fingerprint"),
         is_event.alias("is_event"),
-        F.exists("violations", lambda item: item["severity"] == "reject").alias("breaks_rule"),
-        F.coalesce(has_nul(F.col("_payload")), F.lit(False)).alias("unstorable"),
+        F.array_contains(F.col("violations.severity"), "reject").alias("breaks_rule"),
+        F.coalesce(has_nul(F.col("payload")), F.lit(False)).alias("unstorable"),
     )
 
 

@@ -300,14 +300,14 @@ class RuleSet:
     def evaluate(self, events: DataFrame, into: str = "violations") -> DataFrame:
         """Add what every rule of the event's entity type found, in rule order.
 
-        ``events`` has ``payload`` (variant), ``entity_type``, ``entity_key`` and
+        ``events`` has ``payload_variant``, ``entity_type``, ``entity_key`` and
         ``captured_at``. Each payload member is read once for all its rules.
         """
         fields = sorted({rule.field for rules in self.entities.values() for rule in rules})
         names = {field: f"_f{i}" for i, field in enumerate(fields)}
         values = events.withColumns(
             {
-                names[field]: F.try_variant_get("payload", _path(field), "variant")
+                names[field]: F.try_variant_get("payload_variant", _path(field), "variant")
                 for field in fields
             }
         )

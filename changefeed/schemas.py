@@ -143,10 +143,11 @@ OUTCOMES = {"outcome": "string", "records": "bigint"}
 OFFSETS = {"topic": "string", "partition": "int", "committed_offset": "bigint"}
 COMMIT = {"next_seq": "bigint", "records": "bigint", "committed_at": "timestamp"}
 
-LEDGER = {
+# One row per capture batch, written before its events are published ...
+BATCHES = {
     "source_id": "string",
     "batch_id": "string",
-    "status": "string",
+    "batch_no": "bigint",
     "sync_mode": "string",
     "cursor_start_at": "timestamp",
     "cursor_start_key": "string",
@@ -154,8 +155,26 @@ LEDGER = {
     "cursor_end_key": "string",
     "upper_bound": "timestamp",
     "row_count": "bigint",
-    "at": "timestamp",
+    "inserts": "bigint",
+    "updates": "bigint",
+    "first_event_id": "string",
+    "last_event_id": "string",
+    "started_at": "timestamp",
+}
+# ... and one row per cycle, written last, that commits or fails its batches.
+CYCLES = {
+    "source_id": "string",
+    "status": "string",
+    "cursor_at": "timestamp",
+    "cursor_key": "string",
+    "rows": "bigint",
+    "batches": "bigint",
+    "last_batch_id": "string",
+    "caught_up": "boolean",
+    "finished_at": "timestamp",
     "error": "string",
-    "cycle": "bigint",
-    "step": "bigint",
 }
+RUNNING = "running"
+COMMITTED = "committed"
+FAILED = "failed"
+INTERRUPTED = "interrupted: adapter stopped before the batch committed"

@@ -15,6 +15,8 @@ REQUIRED = {
 }
 # Only for speed. AQE sizes the shuffles from what was really written.
 PREFERRED = {
+    # The JVM does not compile methods over 8,000 bytes; rather generate smaller ones.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -39,6 +41,8 @@ def local_session(cpus: int | str = 8, *, memory: str = "8g", **settings: str) -
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
+        # Recording a call site for every Column costs more than planning a query.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(cpus))
     )
     for name, value in settings.items():

@@ -90,9 +90,9 @@ def seed_if_empty(rows: DataFrame, path: str, *, force: bool = False) -> bool:
     """Write the seed unless the target holds rows; tells whether it wrote."""
     spark = rows.sparkSession
     if not force:
-        from changefeed.streaming.tables import _path_exists
+        from changefeed.streaming.tables import path_exists
 
-        if _path_exists(spark, path) and not spark.read.schema(rows.schema).parquet(path).isEmpty():
+        if path_exists(spark, path) and not spark.read.schema(rows.schema).parquet(path).isEmpty():
             return False
     rows.write.mode("overwrite").parquet(path)
     return True

@@ -45,7 +45,7 @@ class Tables:
         return folder if epoch is None else f"{folder}/epoch={epoch}"
 
     def exists(self, path: str) -> bool:
-        return _path_exists(self.spark, path)
+        return path_exists(self.spark, path)
 
     def write(self, df: DataFrame, table: str, epoch: int, *partitions: str) -> None:
         writer = df.write.mode("overwrite")
@@ -114,6 +114,10 @@ class Tables:
         rows = self._read("outcomes", OUTCOMES, self._end(before))
         return rows.groupBy("outcome").agg(F.sum("records").alias("records"))
 
+    def epoch_outcomes(self, epoch: int) -> DataFrame:
+        rows = self._read("outcomes", OUTCOMES, epoch + 1).where(F.col("epoch") == epoch)
+        return rows.select("outcome", "records")
+
     def duplicates_skipped(self) -> int:
         row = self.outcomes().where(F.col("outcome") == "duplicate").first()
         return row["records"] if row else 0
@@ -181,7 +185,7 @@ class Generations:
 
     def _pointers(self) -> DataFrame | None:
         path = f"{self.root}/current"
-        if not _path_exists(self.spark, path):
+        if not path_exists(self.spark, path):
             return None
         schema = ddl({"switched_at": "timestamp", "generation": "bigint"})
         return self.spark.read.schema(schema).parquet(path)
@@ -199,7 +203,7 @@ class Generations:
 
     def next_free(self) -> int:
         number = self.current_number() + 1
-        while _path_exists(self.spark, f"{self.root}/generation={number}"):
+        while path_exists(self.spark, f"{self.root}/generation={number}"):
             number += 1  # left over from a rebuild that did not finish
         return number
 
@@ -208,7 +212,7 @@ class Generations:
         row.coalesce(1).write.mode("error").parquet(f"{self.root}/current/generation={number}")
 
 
-def _path_exists(spark: SparkSession, path: str) -> bool:
+def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     filesystem = target.getFileSystem(spark._jsc.hadoopConfiguration())
