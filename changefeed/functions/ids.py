@@ -52,7 +52,11 @@ def record_quarantine_id(topic: Column, partition: Column, offset: Column) -> Co
 
 
 def uuid_or_null(text: Column) -> Column:
-    return F.when(text.rlike(UUID_PATTERN), F.lower(text))
+    """Any usual spelling of a UUID in canonical form, else null."""
+    bare = F.replace(F.replace(text, F.lit("urn:"), F.lit("")), F.lit("uuid:"), F.lit(""))
+    hexits = F.lower(F.replace(F.btrim(bare, F.lit("{}")), F.lit("-"), F.lit("")))
+    pieces = [F.substring(hexits, at, size) for at, size in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
+    return F.when(hexits.rlike("^[0-9a-f]{32}$"), F.concat_ws("-", *pieces))
 
 
 def json_string(text: Column) -> Column:

@@ -75,3 +75,12 @@ def stage(df: DataFrame, name: str, *, path: str | None = None) -> DataFrame:
     target = path or f"{shared_dir(spark)}/changefeed/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(target)
     return spark.read.schema(df.schema).parquet(target)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal rows out over the cores where a small input came as few splits.
+
+    A table of many files has more splits than cores and is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from changefeed.functions import ids
 from changefeed.operators.envelope import event_type, headers, value_json
 from changefeed.schemas import EVENT_ID_NAMESPACE, SCHEMA_VERSION
+from changefeed.session import spread
 from changefeed.sources.orders import table
 
 TOPIC = "changes"
@@ -102,7 +103,7 @@ def _hours(count: Column) -> Column:
 
 def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("o_orderkey")
-    rows = table(spark, sf_dir, "orders").withColumn("_r", F.explode(_slots(key)))
+    rows = spread(table(spark, sf_dir, "orders")).withColumn("_r", F.explode(_slots(key)))
     rows = rows.select("*", F.col("_r.slot").alias("slot"), F.col("_r.version").alias("version"))
     occurred = F.col("o_orderdate") + _hours(F.col("version"))
     late = F.when(F.col("slot") == 7, F.lit(1)).otherwise(F.lit(0))
