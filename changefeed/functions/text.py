@@ -31,15 +31,13 @@ def first_line(message: Column) -> Column:
 
 def python_repr(text: Column) -> Column:
     """A string value the way rule messages quote it."""
-    escaped = F.replace(text, F.lit("\\"), F.lit("\\\\"))
-    for char, shown in (("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
-        escaped = F.replace(escaped, F.lit(char), F.lit(shown))
     single, double = F.contains(text, F.lit("'")), F.contains(text, F.lit('"'))
-    return (
-        F.when(single & ~double, F.concat(F.lit('"'), escaped, F.lit('"')))
-        .when(single, F.concat(F.lit("'"), F.replace(escaped, F.lit("'"), F.lit("\\'")), F.lit("'")))
-        .otherwise(F.concat(F.lit("'"), escaped, F.lit("'")))
-    )
+    body = F.replace(text, F.lit("\\"), F.lit("\\\\"))
+    for char, shown in (("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
+        body = F.replace(body, F.lit(char), F.lit(shown))
+    inner = F.when(double, F.lit("\\'")).otherwise(F.lit("'"))
+    quote = F.when(single & ~double, F.lit('"')).otherwise(F.lit("'"))
+    return F.concat(quote, F.replace(body, F.lit("'"), inner), quote)
 
 
 def page_token(sequence: Column) -> Column:

@@ -105,8 +105,10 @@ def _bound(beyond: Callable[[Column, Column], Column], what: str) -> Check:
         exact_bound = F.lit(format(bound, "f")).try_cast("decimal(38,18)")
         rough = F.trim(value.text).try_cast("double")
         # Decimals decide; the double covers what does not fit 38 digits.
-        outside = F.when(exact.isNotNull() & (exact != exact_bound), beyond(exact, exact_bound))
-        outside = outside.otherwise(beyond(rough, F.lit(float(bound))))
+        outside = F.coalesce(
+            F.when(exact != exact_bound, beyond(exact, exact_bound)),
+            beyond(rough, F.lit(float(bound))),
+        )
         return F.when(
             ~F.coalesce(numeric, F.lit(False)),
             F.concat(F.lit("value "), value.shown, F.lit(" is not numeric")),
@@ -261,11 +263,13 @@ class Rule:
     check: str
     options: tuple[tuple[str, Any], ...] = ()
 
-    def violations(self, value: Value, event: Event) -> Column:
-        """An array with the violation, or an empty one."""
+    def message(self, value: Value, event: Event) -> Column:
+        """What is wrong with the value, or null."""
         message = _CHECKS[self.check].build(value, event, dict(self.options))
-        if self.check in _PASSES_ABSENT:
-            message = F.when(~value.absent, message)
+        return F.when(~value.absent, message) if self.check in _PASSES_ABSENT else message
+
+    def violations(self, message: Column) -> Column:
+        """An array with the violation, or an empty one."""
         found = F.struct(
             F.lit(self.name).alias("rule"),
             F.lit(self.field).alias("field"),
@@ -321,24 +325,21 @@ class RuleSet:
             }
         )
         event = Event(F.col("entity_key"), F.col("captured_at"))
-        none = F.array().cast(VIOLATION)
-        found: Column | None = None
-        for entity, rules in self.entities.items():
-            if not rules:
-                continue
-            hits = F.concat(
-                *[
-                    rule.violations(
+        rules = [(entity, rule) for entity, group in self.entities.items() for rule in group]
+        messages = members.withColumns(
+            {
+                f"_m{i}": F.when(
+                    F.col("entity_type") == entity,
+                    rule.message(
                         Value(*[F.col(names[rule.field] + end) for end in ("", "_k", "_t")]), event
-                    )
-                    for rule in rules
-                ]
-            )
-            applies = F.col("entity_type") == entity
-            found = F.when(applies, hits) if found is None else found.when(applies, hits)
-        all_found = none if found is None else found.otherwise(none)
+                    ),
+                )
+                for i, (entity, rule) in enumerate(rules)
+            }
+        )
+        found = [rule.violations(F.col(f"_m{i}")) for i, (_, rule) in enumerate(rules)]
         kept = [F.col(name) for name in events.columns if name != into]
-        return members.select(*kept, all_found.alias(into))
+        return messages.select(*kept, F.concat(F.array().cast(VIOLATION), *found).alias(into))
 
 
 def _path(field: str) -> str:

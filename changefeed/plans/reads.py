@@ -180,7 +180,8 @@ def violations_by_rule(quarantine: DataFrame) -> DataFrame:
     )["violations"]
     return (
         quarantine.where(F.col("reason") == "quality_rule_failed")
-        .select(F.explode(listed).alias("v"))
+        .select(F.explode_outer(listed).alias("v"))
+        .where(F.col("v").isNotNull())
         .groupBy(F.col("v.rule").alias("rule"), F.col("v.severity").alias("severity"))
         .agg(F.count(F.lit(1)).alias("records"))
     )

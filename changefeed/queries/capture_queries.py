@@ -281,11 +281,11 @@ def batch_summary_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "order_violations",
-    "SELECT epoch_us(updated_at) AS updated_at, o_orderkey, count(*) AS rows FROM ("
-    "SELECT o_orderdate AS updated_at, o_orderkey FROM orders UNION ALL "
+    "SELECT epoch_us(t) AS updated_at, o_orderkey, count(*) AS rows FROM ("
+    "SELECT o_orderdate AS t, o_orderkey FROM orders UNION ALL "
     "SELECT o_orderdate, o_orderkey FROM orders WHERE o_orderkey % 29 = 0) "
-    "GROUP BY ALL HAVING count(*) > 1 OR updated_at < TIMESTAMP '1996-05-28' "
-    "OR (updated_at = TIMESTAMP '1996-05-28' AND o_orderkey <= 7000)",
+    "GROUP BY t, o_orderkey HAVING count(*) > 1 OR t < TIMESTAMP '1996-05-28' "
+    "OR (t = TIMESTAMP '1996-05-28' AND o_orderkey <= 7000)",
 )
 def order_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = orders.table(spark, sf_dir, "orders").select(

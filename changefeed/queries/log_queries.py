@@ -131,7 +131,7 @@ def batches_in_epoch(spark: SparkSession, sf_dir: str) -> DataFrame:
 def readable_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole documents as bytes, blanks as NUL and one byte that is not UTF-8."""
     docs = table(spark, sf_dir, "documents")
-    with_nul = F.translate("text", " ", "\0").cast("binary")
+    with_nul = F.replace(F.col("text"), F.lit(" "), F.lit("\0")).cast("binary")
     raw = F.concat(with_nul, F.unhex(F.lit("FF")), F.lit(".").cast("binary"))
     return docs.select("doc_id", readable(raw).alias("raw_value"))
 

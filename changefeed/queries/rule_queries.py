@@ -23,11 +23,18 @@ def _rules(check: str, field: str, entity: str = "order", **options: Any) -> Rul
 
 
 def _findings(events: DataFrame, rules: RuleSet, *keys: str) -> DataFrame:
-    found = rules.evaluate(events.withColumn("payload_variant", F.parse_json("payload")))
-    hits = found.select(*keys, F.explode("violations").alias("v"))
+    hits = _hits(events, rules, *keys)
     return hits.select(*keys, F.col("v.message").alias("message"))
 
 
+def _hits(events: DataFrame, rules: RuleSet, *keys: str) -> DataFrame:
+    found = rules.evaluate(events.withColumn("payload_variant", F.parse_json("payload")))
+    # A plain explode would infer a filter on the array and push it below the
+    # projections, computing every rule twice.
+    hits = found.select(*keys, F.explode_outer("violations").alias("v"))
+    return hits.where(F.col("v").isNotNull())
+
+
 def _orders(spark: SparkSession, sf_dir: str, check: str, field: str, **options: Any) -> DataFrame:
     events = order_events(spark, sf_dir)
     return _findings(events, _rules(check, field, **options), "partition", "offset")
@@ -153,9 +160,7 @@ _ALL = f"""WITH {RECORDS}, found AS (
 
 
 def _shipped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = order_events(spark, sf_dir)
-    found = load_rules().evaluate(events.withColumn("payload_variant", F.parse_json("payload")))
-    return found.select("partition", "offset", F.explode("violations").alias("v"))
+    return _hits(order_events(spark, sf_dir), load_rules(), "partition", "offset")
 
 
 @query(

@@ -20,7 +20,7 @@ from changefeed.schemas import (
     ddl,
 )
 from changefeed.sources.changes import Cursor
-from changefeed.streaming.tables import path_exists
+from changefeed.streaming.tables import numbered_folders, path_exists
 
 
 class LedgerError(RuntimeError):
@@ -70,21 +70,26 @@ class Ledger:
         joined = rows.join(F.broadcast(ends), "cycle", "left")
         return joined.withColumn("status", F.coalesce("status", F.lit(RUNNING))).drop("_source")
 
+    def _numbers(self, table: str) -> set[int]:
+        return numbered_folders(self.spark, f"{self.root}/{table}", "cycle")
+
     def next_cycle(self) -> int:
-        seen = self._read("batches", BATCHES).select("cycle").union(self.cycles().select("cycle"))
-        last = seen.agg(F.max("cycle")).first()[0]
-        return 0 if last is None else last + 1
+        return max(self._numbers("batches") | self._numbers("cycles"), default=-1) + 1
 
     def load(self, source_id: str, *, integer_key: bool) -> SyncState:
+        if not self._numbers("cycles"):
+            return SyncState(source_id, None, None, None)
         mine = self.cycles().where(
             (F.col("source_id") == source_id) & (F.col("status") == COMMITTED)
         )
-        at = F.unix_micros("cursor_at").alias("at")
-        newest = mine.where(F.col("cursor_at").isNotNull()).orderBy(F.col("cycle").desc())
-        moved = newest.select("cycle", at, "cursor_key", "last_batch_id").first()
-        done = from_micros(
-            mine.where("caught_up").agg(F.min(F.unix_micros("finished_at"))).first()[0]
+        position = F.struct(
+            "cycle", F.unix_micros("cursor_at").alias("at"), "cursor_key", "last_batch_id"
         )
+        row = mine.agg(
+            F.max(F.when(F.col("cursor_at").isNotNull(), position)).alias("moved"),
+            F.min(F.when(F.col("caught_up"), F.unix_micros("finished_at"))).alias("done"),
+        ).first()
+        moved, done = row["moved"], from_micros(row["done"])
         if moved is None:
             return SyncState(source_id, None, done, None)
         if moved["cursor_key"] is None:
@@ -152,14 +157,8 @@ class Ledger:
 
     def recover_interrupted(self, source_id: str) -> int:
         """Close the cycles a crash left running; their events may be published
-        but the watermark never moved. Few rows: one per open cycle."""
-        open_cycles = (
-            self.batches()
-            .where((F.col("status") == RUNNING) & (F.col("source_id") == source_id))
-            .select("cycle")
-            .distinct()
-            .collect()
-        )
-        for row in open_cycles:
-            self.fail(row["cycle"], source_id, INTERRUPTED)
+        but the watermark never moved."""
+        open_cycles = self._numbers("batches") - self._numbers("cycles")
+        for cycle in sorted(open_cycles):
+            self.fail(cycle, source_id, INTERRUPTED)
         return len(open_cycles)

@@ -8,6 +8,7 @@ before N, so computing N again gives the same tables.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,8 +68,12 @@ class Tables:
 
     def last_commit(self) -> LastCommit:
         """Epochs are committed one after the other, so the newest covers all."""
-        row = self.commits().orderBy(F.col("epoch").desc()).first()
-        return LastCommit(row["epoch"], row["next_seq"]) if row else LastCommit(-1, 0)
+        done = numbered_folders(self.spark, self.path("commits"), "epoch")
+        if not done:
+            return LastCommit(-1, 0)
+        newest = max(done)
+        row = self.spark.read.schema(ddl(COMMIT)).parquet(self.path("commits", newest)).first()
+        return LastCommit(newest, row["next_seq"])
 
     def commits(self) -> DataFrame:
         return self._read("commits", COMMIT, None)
@@ -85,7 +90,9 @@ class Tables:
         return df if before is None else df.where(F.col("epoch") < before)
 
     def _end(self, before: int | None) -> int:
-        return self.last_commit().epoch + 1 if before is None else before
+        if before is not None:
+            return before
+        return max(numbered_folders(self.spark, self.path("commits"), "epoch"), default=-1) + 1
 
     def records(self, before: int | None = None) -> DataFrame:
         """Every record with its verdict."""
@@ -143,8 +150,8 @@ class Tables:
         )
 
     def _snapshot_epoch(self, end: int) -> int | None:
-        done = self._read("state_snapshot_done", COMMIT, end)
-        return done.agg(F.max("epoch")).first()[0]
+        done = numbered_folders(self.spark, self.path("state_snapshot_done"), "epoch")
+        return max((epoch for epoch in done if epoch < end), default=None)
 
     def current_state(self, before: int | None = None) -> DataFrame:
         """One row per entity. A change is written only if its version is higher,
@@ -183,17 +190,8 @@ class Generations:
         self.spark = spark
         self.root = root.rstrip("/")
 
-    def _pointers(self) -> DataFrame | None:
-        path = f"{self.root}/current"
-        if not path_exists(self.spark, path):
-            return None
-        schema = ddl({"switched_at": "timestamp", "generation": "bigint"})
-        return self.spark.read.schema(schema).parquet(path)
-
     def current_number(self) -> int:
-        pointers = self._pointers()
-        newest = None if pointers is None else pointers.agg(F.max("generation")).first()[0]
-        return 0 if newest is None else newest
+        return max(numbered_folders(self.spark, f"{self.root}/current", "generation"), default=0)
 
     def current(self) -> Tables:
         return self.tables(self.current_number())
@@ -212,8 +210,21 @@ class Generations:
         row.coalesce(1).write.mode("error").parquet(f"{self.root}/current/generation={number}")
 
 
+def _filesystem(spark: SparkSession, path: str) -> tuple[Any, Any]:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    filesystem = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    filesystem, target = _filesystem(spark, path)
     return bool(filesystem.exists(target))
+
+
+def numbered_folders(spark: SparkSession, path: str, prefix: str) -> set[int]:
+    """The numbers n of the folders ``prefix=n``; a listing, no Spark job."""
+    filesystem, target = _filesystem(spark, path)
+    if not filesystem.exists(target):
+        return set()
+    names = [status.getPath().getName() for status in filesystem.listStatus(target)]
+    start = f"{prefix}="
+    return {int(name[len(start) :]) for name in names if name.startswith(start)}
