@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +17,8 @@ from changefeed.plans.reads import recent_batches, watermarks
 from changefeed.queries import query
 from changefeed.queries.sql import event_uuid
 from changefeed.schemas import EVENT_ID_NAMESPACE
-from changefeed.session import shared_dir, stage
+from changefeed.queries.tables import once
+from changefeed.session import stage
 from changefeed.sources import changes, orders
 from changefeed.sources.orders import ORDERS_SPEC as SPEC
 
@@ -350,11 +350,12 @@ def versioned_update(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _capture(spark: SparkSession, sf_dir: str) -> Capture:
     """Two cycles over the orders: up to a bound, then the rest."""
-    root = f"{shared_dir(spark)}/changefeed/capture-{uuid.uuid4().hex}"
+    root, done = once(spark, sf_dir, "capture")
     capture = Capture(spark, root, SPEC, settle_seconds=0, batch_size=BATCH)
-    source = _source(spark, sf_dir)
-    capture.run_cycle(source, as_of=BOUND)
-    capture.run_cycle(source, as_of=LOADED)
+    if not done:
+        source = _source(spark, sf_dir)
+        capture.run_cycle(source, as_of=BOUND)
+        capture.run_cycle(source, as_of=LOADED)
     return capture
 
 

@@ -16,7 +16,8 @@ from changefeed.streaming.tables import Tables, path_exists
 _BUILT: dict[tuple[str, str, str], str] = {}
 
 
-def _once(spark: SparkSession, sf_dir: str, what: str) -> tuple[str, bool]:
+def once(spark: SparkSession, sf_dir: str, what: str) -> tuple[str, bool]:
+    """The folder of something built once, and whether it is there already."""
     key = (spark.sparkContext.applicationId, sf_dir, what)
     if key in _BUILT and path_exists(spark, _BUILT[key]):
         return _BUILT[key], True
@@ -26,7 +27,7 @@ def _once(spark: SparkSession, sf_dir: str, what: str) -> tuple[str, bool]:
 
 def examined(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The decoded feed, staged: several queries read it more than once."""
-    path, done = _once(spark, sf_dir, "examined")
+    path, done = once(spark, sf_dir, "examined")
     if done:
         return spark.read.parquet(path)
     return stage(resolve.examine(change_log(spark, sf_dir), load_rules()), "examined", path=path)
@@ -34,7 +35,7 @@ def examined(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sink(spark: SparkSession, sf_dir: str) -> Tables:
     """The feed resolved into tables."""
-    path, done = _once(spark, sf_dir, "sink")
+    path, done = once(spark, sf_dir, "sink")
     tables = Tables(spark, path)
     if not done:
         resolve_epoch(change_log(spark, sf_dir), tables, load_rules(), 0)
