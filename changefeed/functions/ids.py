@@ -68,10 +68,6 @@ def json_string(text: Column) -> Column:
     )
 
 
-# A number with a fraction or an exponent; may also match inside a string.
-_FRACTION = r"[:,\[]\s*-?\d+[.eE]"
-
-
 def fingerprint(
     *,
     event_type: Column,
@@ -83,17 +79,20 @@ def fingerprint(
     occurred_at: Column,
     payload: Column,
     payload_variant: Column,
-    written: Column,
 ) -> Column:
     """SHA-256 over the fields that make two records the same change.
 
     The text is compact JSON with sorted keys. ``captured_at`` and ``batch_id``
     differ between deliveries of one change and stay out. ``payload`` is the text
     of a variant, which shows 1.0 as 1; where it holds fractional numbers its type
-    is added, so that an integer and a float never look alike. ``written``, the
-    record as it came, tells cheaply whether there can be any.
+    is added, so that an integer and a float never look alike.
     """
     shape = F.schema_of_variant(payload_variant)
+    fractional = (
+        F.contains(shape, F.lit("DECIMAL"))
+        | F.contains(shape, F.lit("DOUBLE"))
+        | F.contains(shape, F.lit("FLOAT"))
+    )
     text = F.concat(
         F.lit('{"entity_key":'), json_string(entity_key),
         F.lit(',"entity_type":'), json_string(entity_type),
@@ -103,8 +102,6 @@ def fingerprint(
         F.lit('","payload":'), payload,
         F.lit(',"source":{"object":'), json_string(source_object),
         F.lit(',"system":'), json_string(system), F.lit("}}"),
-        F.when(written.rlike(_FRACTION) & shape.rlike("DECIMAL|DOUBLE|FLOAT"), shape).otherwise(
-            F.lit("")
-        ),
+        F.when(fractional, shape).otherwise(F.lit("")),
     )
     return F.sha2(text, 256)

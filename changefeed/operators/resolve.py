@@ -53,7 +53,6 @@ def examine(records: DataFrame, rules: RuleSet) -> DataFrame:
                 occurred_at=F.col("occurred_at"),
                 payload=F.col("payload"),
                 payload_variant=F.col("payload_variant"),
-                written=F.col("value").cast("string"),
             ),
         ).alias("fingerprint"),
         is_event.alias("is_event"),

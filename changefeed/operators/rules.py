@@ -36,39 +36,33 @@ class RulesError(ValueError):
 
 @dataclass(frozen=True)
 class Value:
-    """One payload member as the checks see it."""
+    """One payload member as the checks see it: its text, and more if need be."""
 
-    variant: Column
-    kind: Column
     text: Column
+    variant: Column
 
     @property
-    def missing(self) -> Column:
-        return self.variant.isNull()
-
-    @property
-    def is_null(self) -> Column:
-        return F.is_variant_null(self.variant)
-
-    @property
-    def absent(self) -> Column:
-        return self.missing | self.is_null
+    def kind(self) -> Column:
+        return F.schema_of_variant(self.variant)
 
     @property
     def is_text(self) -> Column:
-        return self.kind == "STRING"
+        """The type is looked up only if the text could also be that of another one."""
+        other = self.text.rlike(r"^([-0-9\[{]|true$|false$)")
+        return F.when(other, self.kind == "STRING").otherwise(F.lit(True))
 
     @property
-    def is_integer(self) -> Column:
-        return (self.kind == "BIGINT") | self.kind.rlike(r"^DECIMAL\(\d+,0\)$")
+    def is_text_or_integer(self) -> Column:
+        digits = self.text.rlike(r"^-?\d+$")
+        return F.when(digits, ~self.kind.rlike("^(DOUBLE|FLOAT)")).otherwise(self.is_text)
 
     @property
     def shown(self) -> Column:
         """The value as messages quote it."""
         return (
-            F.when(self.is_text, python_repr(self.text))
+            F.when(self.kind == "STRING", python_repr(self.text))
             .when(self.kind == "BOOLEAN", F.initcap(self.text))
-            .otherwise(F.coalesce(self.text, F.to_json(self.variant)))
+            .otherwise(self.text)
         )
 
 
@@ -80,7 +74,9 @@ class Event:
     captured_at: Column
 
 
-Check = Callable[[Value, Event, dict[str, Any]], Column]
+# What can be wrong, in order: a condition and the message it gives.
+Findings = list[tuple[Column, Column]]
+Check = Callable[[Value, Event, dict[str, Any]], Findings]
 
 
 @dataclass(frozen=True)
@@ -90,109 +86,96 @@ class CheckKind:
     validate: Callable[[dict[str, Any]], str | None] = field(default=lambda _: None)
 
 
-def _not_null(value: Value, _event: Event, _options: dict[str, Any]) -> Column:
-    return F.when(value.missing, F.lit("field is missing")).when(
-        value.is_null, F.lit("value is null")
-    )
+def _value_message(value: Value, *rest: Column | str) -> Column:
+    parts = [F.lit(part) if isinstance(part, str) else part for part in rest]
+    return F.concat(F.lit("value "), value.shown, *parts)
+
+
+def _is_absent(value: Value) -> Column:
+    return value.text.isNull()
+
+
+def _not_null(value: Value, _event: Event, _options: dict[str, Any]) -> Findings:
+    absent = _is_absent(value)
+    return [
+        (absent & value.variant.isNull(), F.lit("field is missing")),
+        (absent, F.lit("value is null")),
+    ]
 
 
 def _bound(beyond: Callable[[Column, Column], Column], what: str) -> Check:
-    def check(value: Value, _event: Event, options: dict[str, Any]) -> Column:
+    def check(value: Value, _event: Event, options: dict[str, Any]) -> Findings:
         bound = Decimal(str(options["value"]))
-        scalar = value.is_text | value.kind.rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)")
-        numeric = scalar & value.text.rlike(_NUMBER)
-        exact = F.trim(value.text).try_cast("decimal(38,18)")
+        number = F.trim(value.text)
+        exact = number.try_cast("decimal(38,18)")
         exact_bound = F.lit(format(bound, "f")).try_cast("decimal(38,18)")
-        rough = F.trim(value.text).try_cast("double")
         # Decimals decide; the double covers what does not fit 38 digits.
         outside = F.coalesce(
             F.when(exact != exact_bound, beyond(exact, exact_bound)),
-            beyond(rough, F.lit(float(bound))),
-        )
-        return F.when(
-            ~F.coalesce(numeric, F.lit(False)),
-            F.concat(F.lit("value "), value.shown, F.lit(" is not numeric")),
-        ).when(
-            outside,
-            F.concat(F.lit("value "), F.trim(value.text), F.lit(f" is {what} {options['value']}")),
+            beyond(number.try_cast("double"), F.lit(float(bound))),
         )
+        return [
+            (~value.text.rlike(_NUMBER), _value_message(value, " is not numeric")),
+            (outside, F.concat(F.lit("value "), number, F.lit(f" is {what} {options['value']}"))),
+        ]
 
     return check
 
 
-def _allowed_values(value: Value, _event: Event, options: dict[str, Any]) -> Column:
+def _allowed_values(value: Value, _event: Event, options: dict[str, Any]) -> Findings:
     allowed = options["values"]
     texts = [item for item in allowed if isinstance(item, str)]
-    flags = [item for item in allowed if isinstance(item, bool)]
-    numbers = [item for item in allowed if isinstance(item, int) and not isinstance(item, bool)]
+    flags = [str(item).lower() for item in allowed if isinstance(item, bool)]
+    numbers = [str(v) for v in allowed if isinstance(v, int) and not isinstance(v, bool)]
     match = F.lit(False)
     if texts:
-        match = match | (value.is_text & value.text.isin(*texts))
+        match = match | (value.text.isin(*texts) & value.is_text)
     if flags:
-        match = match | (
-            (value.kind == "BOOLEAN") & value.text.isin(*[str(item).lower() for item in flags])
-        )
+        match = match | (value.text.isin(*flags) & (value.kind == "BOOLEAN"))
     if numbers:
-        match = match | (value.is_integer & value.text.isin(*[str(item) for item in numbers]))
-    listed = F.lit(f" is not one of {list(allowed)}")
-    return F.when(
-        ~F.coalesce(match, F.lit(False)), F.concat(F.lit("value "), value.shown, listed)
-    )
-
-
-def _not_text(value: Value) -> Column:
-    return F.concat(F.lit("value "), value.shown, F.lit(" is not a string"))
+        match = match | (value.text.isin(*numbers) & value.kind.rlike(r"^(BIGINT|DECIMAL)"))
+    return [(~match, _value_message(value, f" is not one of {list(allowed)}"))]
 
 
-def _pattern(value: Value, _event: Event, options: dict[str, Any]) -> Column:
+def _pattern(value: Value, _event: Event, options: dict[str, Any]) -> Findings:
     # '^' and '$' would let a trailing line break pass.
     full = value.text.rlike(rf"\A(?:{options['regex']})\z")
-    return F.when(~value.is_text, _not_text(value)).when(
-        ~full,
-        F.concat(
-            F.lit("value "), value.shown, F.lit(f" does not match {options['regex']!r}")
-        ),
-    )
+    return [
+        (~value.is_text, _value_message(value, " is not a string")),
+        (~full, _value_message(value, f" does not match {options['regex']!r}")),
+    ]
 
 
-def _max_length(value: Value, _event: Event, options: dict[str, Any]) -> Column:
+def _max_length(value: Value, _event: Event, options: dict[str, Any]) -> Findings:
     length = F.char_length(value.text)
-    return F.when(~value.is_text, _not_text(value)).when(
-        length > options["value"],
-        F.concat(F.lit("length "), length.cast("string"), F.lit(f" exceeds {options['value']}")),
-    )
+    exceeds = F.lit(f" exceeds {options['value']}")
+    return [
+        (~value.is_text, _value_message(value, " is not a string")),
+        (length > options["value"], F.concat(F.lit("length "), length.cast("string"), exceeds)),
+    ]
 
 
-def _matches_entity_key(value: Value, event: Event, _options: dict[str, Any]) -> Column:
-    same = (value.is_text | value.is_integer) & (value.text == event.entity_key)
-    return F.when(
-        ~same,
-        F.concat(
-            F.lit("value "),
-            value.shown,
-            F.lit(" does not match entity_key "),
-            python_repr(event.entity_key),
-        ),
-    )
+def _matches_entity_key(value: Value, event: Event, _options: dict[str, Any]) -> Findings:
+    same = (value.text == event.entity_key) & value.is_text_or_integer
+    shown_key = python_repr(event.entity_key)
+    return [(~same, _value_message(value, " does not match entity_key ", shown_key))]
 
 
-def _not_after_captured_at(value: Value, event: Event, _options: dict[str, Any]) -> Column:
+def _not_after_captured_at(value: Value, event: Event, _options: dict[str, Any]) -> Findings:
     moment, day = parse_iso_timestamp(value.text), parse_iso_date(value.text)
-    unreadable = ~value.is_text | (moment.isNull() & day.isNull())
-    later = F.coalesce(
-        moment > event.captured_at, day > event.captured_at.cast("date")
-    )
-    return F.when(
-        unreadable,
-        F.concat(
-            F.lit("value "), value.shown, F.lit(" is not an ISO-8601 date or timestamp")
+    unreadable = (moment.isNull() & day.isNull()) | ~value.is_text
+    later = F.coalesce(day > event.captured_at.cast("date"), moment > event.captured_at)
+    return [
+        (unreadable, _value_message(value, " is not an ISO-8601 date or timestamp")),
+        (
+            later,
+            F.concat(
+                value.text,
+                F.lit(" is later than the capture time "),
+                iso_offset(event.captured_at),
+            ),
         ),
-    ).when(
-        later,
-        F.concat(
-            value.text, F.lit(" is later than the capture time "), iso_offset(event.captured_at)
-        ),
-    )
+    ]
 
 
 def _finite_number(options: dict[str, Any]) -> str | None:
@@ -244,9 +227,9 @@ def register_check(
     options: tuple[str, ...] = (),
     validate: Callable[[dict[str, Any]], str | None] = lambda _: None,
 ) -> None:
-    """Add a kind of check: ``build`` returns the message Column, null to pass.
+    """Add a kind of check: ``build`` returns conditions with their messages.
 
-    Absent values never reach it.
+    The first condition that is true gives the message. Absent values pass.
     """
     if name in _CHECKS:
         raise RulesError(f"check {name!r} exists")
@@ -263,22 +246,29 @@ class Rule:
     check: str
     options: tuple[tuple[str, Any], ...] = ()
 
-    def message(self, value: Value, event: Event) -> Column:
-        """What is wrong with the value, or null."""
-        message = _CHECKS[self.check].build(value, event, dict(self.options))
-        return F.when(~value.absent, message) if self.check in _PASSES_ABSENT else message
-
-    def violations(self, message: Column) -> Column:
+    def violations(self, value: Value, event: Event) -> Column:
         """An array with the violation, or an empty one."""
-        found = F.struct(
-            F.lit(self.name).alias("rule"),
-            F.lit(self.field).alias("field"),
-            F.lit(self.severity).alias("severity"),
-            message.alias("message"),
-        )
-        return F.when(message.isNotNull(), F.array(found).cast(VIOLATION)).otherwise(
-            F.array().cast(VIOLATION)
-        )
+        findings = _CHECKS[self.check].build(value, event, dict(self.options))
+        broken = F.lit(False)
+        for bad, _ in findings:
+            broken = broken | F.coalesce(bad, F.lit(False))
+        if self.check in _PASSES_ABSENT:
+            broken = ~_is_absent(value) & broken
+
+        def describe(_: Column) -> Column:
+            message = F.when(*findings[0])
+            for bad, text in findings[1:]:
+                message = message.when(bad, text)
+            return F.struct(
+                F.lit(self.name).alias("rule"),
+                F.lit(self.field).alias("field"),
+                F.lit(self.severity).alias("severity"),
+                message.alias("message"),
+            )
+
+        # Only the condition is generated code; the message is for the few that fail.
+        found = F.transform(F.array(value.text), describe).cast(VIOLATION)
+        return F.when(broken, found).otherwise(F.array().cast(VIOLATION))
 
 
 @dataclass(frozen=True)
@@ -308,38 +298,25 @@ class RuleSet:
         ``captured_at``. Each payload member is read once for all its rules.
         """
         fields = sorted({rule.field for rules in self.entities.values() for rule in rules})
-        names = {field: f"_f{i}" for i, field in enumerate(fields)}
-        values = events.withColumns(
-            {
-                names[field]: F.try_variant_get("payload_variant", _path(field), "variant")
-                for field in fields
-            }
-        )
-        members = values.withColumns(
-            {
-                **{f"{name}_k": F.schema_of_variant(name) for name in names.values()},
-                **{
-                    f"{name}_t": F.try_variant_get(F.col(name), "$", "string")
-                    for name in names.values()
-                },
-            }
+        none = F.array().cast(VIOLATION)
+        if not fields:
+            return events.withColumn(into, none)
+        wanted = ", ".join(f"`{field}`: string" for field in fields)
+        members = events.withColumn(
+            "_f", F.try_variant_get("payload_variant", "$", f"struct<{wanted}>")
         )
         event = Event(F.col("entity_key"), F.col("captured_at"))
-        rules = [(entity, rule) for entity, group in self.entities.items() for rule in group]
-        messages = members.withColumns(
-            {
-                f"_m{i}": F.when(
-                    F.col("entity_type") == entity,
-                    rule.message(
-                        Value(*[F.col(names[rule.field] + end) for end in ("", "_k", "_t")]), event
-                    ),
-                )
-                for i, (entity, rule) in enumerate(rules)
-            }
-        )
-        found = [rule.violations(F.col(f"_m{i}")) for i, (_, rule) in enumerate(rules)]
+
+        def value(field: str) -> Value:
+            variant = F.try_variant_get("payload_variant", _path(field), "variant")
+            return Value(F.col(f"_f.`{field}`"), variant)
+
+        found = none
+        for entity, rules in self.entities.items():
+            hits = F.concat(none, *[rule.violations(value(rule.field), event) for rule in rules])
+            found = F.when(F.col("entity_type") == entity, hits).otherwise(found)
         kept = [F.col(name) for name in events.columns if name != into]
-        return messages.select(*kept, F.concat(F.array().cast(VIOLATION), *found).alias(into))
+        return members.select(*kept, found.alias(into))
 
 
 def _path(field: str) -> str:
@@ -360,7 +337,7 @@ def _parse_rule(where: str, raw: Any, problems: list[str]) -> Rule | None:
             found.append(f"{where}.{name}: a non-empty string is required")
     if isinstance(raw.get("name"), str) and raw["name"] and not _NAME.match(raw["name"]):
         found.append(f"{where}.name: must match {_NAME.pattern}")
-    if isinstance(raw.get("field"), str) and ('"' in raw["field"] or "\\" in raw["field"]):
+    if isinstance(raw.get("field"), str) and set(raw["field"]) & set('"`\\'):
         found.append(f"{where}.field: quotes and backslashes are not supported")
     if raw.get("severity") not in SEVERITIES:
         found.append(f"{where}.severity: must be one of {list(SEVERITIES)}")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,12 +37,12 @@ def error(kind: str, loc: str | Column, message: str) -> Column:
     return F.struct(F.lit(kind).alias("type"), location.alias("loc"), F.lit(message).alias("msg"))
 
 
-def first_error(*checks: tuple[Column, Column]) -> Errors:
-    """The error of the first check that is true, as an array of one.
+def only(kind: str, loc: str, message: str) -> Errors:
+    return F.array(error(kind, loc, message)).cast(ERROR)
 
-    Arrays that are concatenated, not an array that is filtered: a lambda would
-    take the whole projection out of code generation.
-    """
+
+def first_error(*checks: tuple[Column, Column]) -> Errors:
+    """The error of the first check that is true, as an array of one."""
     found: Column | None = None
     for bad, problem in checks:
         hit = F.array(problem).cast(ERROR)
@@ -48,14 +50,25 @@ def first_error(*checks: tuple[Column, Column]) -> Errors:
     return none() if found is None else found.otherwise(none())
 
 
+def aside(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then(value)``, kept out of generated code.
+
+    A lambda body is interpreted. That is slower per row, but it is used for rows
+    that are rare, and the code generated for all the others stays small enough
+    for the JVM to compile.
+    """
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
 def has_lone_surrogate(text: Column) -> Column:
-    escaped = F.contains(text, F.lit("\\ud")) | F.contains(text, F.lit("\\uD"))
     # An escaped backslash must not be taken for the start of a \\u escape.
     plain = F.replace(text, F.lit("\\\\"), F.lit(".."))
-    return F.when(escaped, plain.rlike(_LONE_SURROGATE)).otherwise(F.lit(False))
+    return F.when(F.contains(text, F.lit("\\u")), plain.rlike(_LONE_SURROGATE)).otherwise(
+        F.lit(False)
+    )
 
 
-def with_document(df: DataFrame, text: str, into: str) -> DataFrame:
+def parse_document(text: Column) -> Column:
     """One JSON document as a variant; null if the text is anything else.
 
     The parser stops after the first value and ignores what follows. So the text
@@ -63,221 +76,228 @@ def with_document(df: DataFrame, text: str, into: str) -> DataFrame:
     which no value can contain: a text holding more than one document moves or
     breaks the second element.
     """
-    value = F.col(text)
-    sealed = df.withColumn("_seal", F.sha2(value, 256)).withColumn(
-        "_wrapped",
-        F.when(
-            ~has_lone_surrogate(value),
-            F.try_parse_json(F.concat(F.lit("["), value, F.lit(',"'), "_seal", F.lit('"]'))),
-        ),
-    )
-    whole = (F.try_variant_get("_wrapped", "$[1]", "string") == F.col("_seal")) & (
-        F.try_variant_get("_wrapped", "$[2]", "variant").isNull()
+    wrapped = F.when(
+        ~has_lone_surrogate(text),
+        F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"'), F.sha2(text, 256), F.lit('"]'))),
     )
-    return sealed.withColumn(
-        into, F.when(whole, F.try_variant_get("_wrapped", "$[0]", "variant"))
-    ).drop("_seal", "_wrapped")
 
+    def unwrap(array: Column) -> Column:
+        whole = (F.try_variant_get(array, "$[1]", "string") == F.sha2(text, 256)) & (
+            F.try_variant_get(array, "$[2]", "variant").isNull()
+        )
+        return F.when(whole, F.try_variant_get(array, "$[0]", "variant"))
 
-_SOURCE_PATHS = tuple(f"source.{name}" for name in SOURCE_FIELDS)
-_PATHS = (*ENVELOPE_FIELDS, *_SOURCE_PATHS)
-_TEXT_PATHS = tuple(
-    path for path in _PATHS if path not in ("schema_version", "source", "payload", "entity_version")
-)
-
-
-def _column(role: str, path: str) -> str:
-    return f"_{role}_{path.replace('.', '_')}"
-
-
-def _value(path: str) -> Column:
-    return F.col(_column("v", path))
-
-
-def _kind(path: str) -> Column:
-    return F.col(_column("k", path))
-
-
-def _string(path: str) -> Column:
-    return F.col(_column("t", path))
-
-
-def _with_fields(df: DataFrame, document: str) -> DataFrame:
-    """Each envelope member as variant, type name and text, read once."""
-    values = df.withColumns(
-        {_column("v", path): F.try_variant_get(document, f"$.{path}", "variant") for path in _PATHS}
-    )
-    return values.withColumns(
-        {
-            **{_column("k", path): F.schema_of_variant(_value(path)) for path in _PATHS},
-            **{
-                _column("t", path): F.try_variant_get(_value(path), "$", "string")
-                for path in _TEXT_PATHS
-            },
-            "_number": F.try_variant_get(_value("entity_version"), "$", "bigint"),
-        }
-    )
+    return aside(wrapped, unwrap)
 
 
-def _missing(path: str) -> tuple[Column, Column]:
-    return _value(path).isNull(), error("missing", path, "Field required")
+class _Document:
+    """The members of an envelope, read from a variant one by one."""
 
+    def __init__(self, variant: Column) -> None:
+        self.variant = variant
 
-def _text_errors(path: str, *checks: tuple[Column, Column]) -> Errors:
-    not_text = error("string_type", path, "Input should be a valid string")
-    return first_error(_missing(path), (_kind(path) != "STRING", not_text), *checks)
+    def value(self, path: str) -> Column:
+        return F.try_variant_get(self.variant, f"$.{path}", "variant")
 
+    def kind(self, path: str) -> Column:
+        return F.schema_of_variant(self.value(path))
 
-def _uuid_errors(path: str) -> Errors:
-    return first_error(
-        _missing(path),
-        (_kind(path) != "STRING", error("uuid_type", path, "UUID input should be a string")),
-        (
-            ~_string(path).rlike(ids.UUID_PATTERN),
-            error("uuid_parsing", path, "Input should be a valid UUID"),
-        ),
-    )
+    def text(self, path: str) -> Column:
+        return F.try_variant_get(self.variant, f"$.{path}", "string")
 
+    def names(self, path: str = "") -> Column:
+        return F.json_object_keys(F.to_json(self.value(path) if path else self.variant))
 
-def _timestamp_errors(path: str) -> Errors:
-    text = _string(path)
-    return first_error(
-        _missing(path),
-        (_kind(path) != "STRING", error("datetime_type", path, "Input should be a valid datetime")),
-        (
-            times.parse_offset_timestamp(text).isNull()
-            & (text.rlike(times.NAIVE_TIMESTAMP) | text.rlike(times.ISO_DATE)),
-            error("timezone_aware", path, "Input should have timezone info"),
-        ),
-        (
-            times.parse_offset_timestamp(text).isNull(),
-            error("datetime_parsing", path, "Input should be a valid datetime"),
-        ),
-    )
+    def missing(self, path: str) -> tuple[Column, Column]:
+        return self.value(path).isNull(), error("missing", path, "Field required")
 
+    def text_errors(self, path: str, *checks: tuple[Column, Column]) -> Errors:
+        not_text = error("string_type", path, "Input should be a valid string")
+        return first_error(self.missing(path), (self.kind(path) != "STRING", not_text), *checks)
 
-def _version_errors() -> Errors:
-    path, kind = "entity_version", _kind("entity_version")
-    whole = F.try_variant_get(_value(path), "$", "decimal(38,0)")
-    largest = F.lit(2**63 - 1)
-    too_big = kind.startswith("DECIMAL") & (whole > largest.cast("decimal(38,0)"))
-    return first_error(
-        _missing(path),
-        (
-            too_big,
-            error(
-                "less_than_equal",
-                path,
-                "Input should be less than or equal to 9223372036854775807",
+    def uuid_errors(self, path: str) -> Errors:
+        return first_error(
+            self.missing(path),
+            (
+                self.kind(path) != "STRING",
+                error("uuid_type", path, "UUID input should be a string"),
             ),
-        ),
-        (kind != "BIGINT", error("int_type", path, "Input should be a valid integer")),
-        (
-            F.col("_number") < 1,
-            error("greater_than_equal", path, "Input should be greater than or equal to 1"),
-        ),
-    )
-
-
-def _extra_errors(names: Column, known: tuple[str, ...], prefix: str) -> Errors:
-    unknown = F.array_except(names, F.array(*[F.lit(name) for name in known]))
-    found = F.transform(
-        unknown,
-        lambda name: error(
-            "extra_forbidden", F.concat(F.lit(prefix), name), "Extra inputs are not permitted"
-        ),
-    )
-    return F.coalesce(found.cast(ERROR), none())
-
-
-def _source_errors() -> list[Errors]:
-    is_object = _kind("source").startswith("OBJECT")
-    not_object = error("model_type", "source", "Input should be an object")
-    inner = [
-        F.when(
-            is_object,
-            _text_errors(
-                path,
-                (
-                    _string(path) == "",
-                    error("string_too_short", path, "String should have at least 1 character"),
-                ),
+            (
+                ~self.text(path).rlike(ids.UUID_PATTERN),
+                error("uuid_parsing", path, "Input should be a valid UUID"),
             ),
-        ).otherwise(none())
-        for path in _SOURCE_PATHS
-    ]
-    return [first_error(_missing("source"), (~is_object, not_object)), *inner]
+        )
 
+    def moment(self, path: str) -> Column:
+        return times.parse_offset_timestamp(self.text(path))
 
-def _envelope_errors() -> Errors:
-    supported = (_kind("schema_version") == "BIGINT") & (
-        F.try_variant_get(_value("schema_version"), "$", "bigint") == SCHEMA_VERSION
-    )
-    entity_type, entity_key = _string("entity_type"), _string("entity_key")
-    return F.concat(
-        first_error(
-            _missing("schema_version"),
-            (~supported, error("literal_error", "schema_version", "Input should be 1")),
-        ),
-        _uuid_errors("event_id"),
-        _text_errors(
-            "event_type",
+    def timestamp_errors(self, path: str) -> Errors:
+        text, unreadable = self.text(path), self.moment(path).isNull()
+        return first_error(
+            self.missing(path),
             (
-                ~_string("event_type").isin(*EVENT_TYPES),
-                error("enum", "event_type", "Input should be 'insert' or 'update'"),
+                self.kind(path) != "STRING",
+                error("datetime_type", path, "Input should be a valid datetime"),
             ),
-        ),
-        _text_errors(
-            "entity_type",
             (
-                # '$' would also accept a trailing line break.
-                ~entity_type.rlike(ENTITY_TYPE_PATTERN) | F.contains(entity_type, F.lit("\n")),
-                error(
-                    "string_pattern_mismatch",
-                    "entity_type",
-                    f"String should match pattern '{ENTITY_TYPE_PATTERN}'",
-                ),
+                unreadable & (text.rlike(times.NAIVE_TIMESTAMP) | text.rlike(times.ISO_DATE)),
+                error("timezone_aware", path, "Input should have timezone info"),
             ),
-        ),
-        _text_errors(
-            "entity_key",
+            (unreadable, error("datetime_parsing", path, "Input should be a valid datetime")),
+        )
+
+    def version(self) -> Column:
+        return F.try_variant_get(self.variant, "$.entity_version", "bigint")
+
+    def version_errors(self) -> Errors:
+        path, kind = "entity_version", self.kind("entity_version")
+        whole = F.try_variant_get(self.variant, f"$.{path}", "decimal(38,0)")
+        largest = F.lit(2**63 - 1)
+        too_big = kind.startswith("DECIMAL") & (whole > largest.cast("decimal(38,0)"))
+        return first_error(
+            self.missing(path),
             (
-                entity_key == "",
-                error("string_too_short", "entity_key", "String should have at least 1 character"),
+                too_big,
+                error("less_than_equal", path, f"Input should be less than or equal to {2**63 - 1}"),
             ),
+            (kind != "BIGINT", error("int_type", path, "Input should be a valid integer")),
             (
-                F.length(entity_key) > MAX_ENTITY_KEY,
-                error(
-                    "string_too_long",
-                    "entity_key",
-                    f"String should have at most {MAX_ENTITY_KEY} characters",
+                self.version() < 1,
+                error("greater_than_equal", path, "Input should be greater than or equal to 1"),
+            ),
+        )
+
+    def extra_errors(self, path: str, known: tuple[str, ...]) -> Errors:
+        unknown = F.array_except(self.names(path), F.array(*[F.lit(name) for name in known]))
+        prefix = F.lit(f"{path}." if path else "")
+        found = F.transform(
+            unknown,
+            lambda name: error(
+                "extra_forbidden", F.concat(prefix, name), "Extra inputs are not permitted"
+            ),
+        )
+        return F.coalesce(found.cast(ERROR), none())
+
+    def source_errors(self) -> list[Errors]:
+        is_object = self.kind("source").startswith("OBJECT")
+        not_object = error("model_type", "source", "Input should be an object")
+        inner = [
+            self.text_errors(
+                path,
+                (
+                    self.text(path) == "",
+                    error("string_too_short", path, "String should have at least 1 character"),
                 ),
+            )
+            for path in (f"source.{name}" for name in SOURCE_FIELDS)
+        ]
+        return [
+            first_error(self.missing("source"), (~is_object, not_object)),
+            F.when(
+                is_object, F.concat(*inner, self.extra_errors("source", SOURCE_FIELDS))
+            ).otherwise(none()),
+        ]
+
+    def errors(self) -> Errors:
+        """Everything wrong with the members, in the order of the fields."""
+        entity_type, entity_key = self.text("entity_type"), self.text("entity_key")
+        supported = (self.kind("schema_version") == "BIGINT") & (
+            F.try_variant_get(self.variant, "$.schema_version", "bigint") == SCHEMA_VERSION
+        )
+        return F.concat(
+            first_error(
+                self.missing("schema_version"),
+                (~supported, error("literal_error", "schema_version", "Input should be 1")),
             ),
-        ),
-        _version_errors(),
-        _timestamp_errors("occurred_at"),
-        _timestamp_errors("captured_at"),
-        _uuid_errors("batch_id"),
-        first_error(
-            _missing("payload"),
-            (
-                ~_kind("payload").startswith("OBJECT"),
-                error("dict_type", "payload", "Input should be a valid dictionary"),
+            self.uuid_errors("event_id"),
+            self.text_errors(
+                "event_type",
+                (
+                    ~self.text("event_type").isin(*EVENT_TYPES),
+                    error("enum", "event_type", "Input should be 'insert' or 'update'"),
+                ),
             ),
-        ),
-        *_source_errors(),
-    )
+            *self.source_errors(),
+            self.text_errors(
+                "entity_type",
+                (
+                    # '$' would also accept a trailing line break.
+                    ~entity_type.rlike(ENTITY_TYPE_PATTERN) | F.contains(entity_type, F.lit("\n")),
+                    error(
+                        "string_pattern_mismatch",
+                        "entity_type",
+                        f"String should match pattern '{ENTITY_TYPE_PATTERN}'",
+                    ),
+                ),
+            ),
+            self.text_errors(
+                "entity_key",
+                (
+                    entity_key == "",
+                    error(
+                        "string_too_short", "entity_key", "String should have at least 1 character"
+                    ),
+                ),
+                (
+                    F.length(entity_key) > MAX_ENTITY_KEY,
+                    error(
+                        "string_too_long",
+                        "entity_key",
+                        f"String should have at most {MAX_ENTITY_KEY} characters",
+                    ),
+                ),
+            ),
+            self.version_errors(),
+            self.timestamp_errors("occurred_at"),
+            self.timestamp_errors("captured_at"),
+            self.uuid_errors("batch_id"),
+            first_error(
+                self.missing("payload"),
+                (
+                    ~self.kind("payload").startswith("OBJECT"),
+                    error("dict_type", "payload", "Input should be a valid dictionary"),
+                ),
+            ),
+            self.extra_errors("", ENVELOPE_FIELDS),
+        )
+
+    def derived_id(self) -> Column:
+        return ids.event_id(
+            self.text("source.system"),
+            self.text("source.object"),
+            self.text("entity_type"),
+            self.text("entity_key"),
+            self.version(),
+        )
+
+    def all_errors(self) -> Errors:
+        """The id must follow from the identity; only then is it safe to dedup on."""
+        not_derived = only(
+            "value_error",
+            "",
+            "Value error, event_id must be derived from"
+            " (source, entity_type, entity_key, entity_version)",
+        )
+        underived = F.lower(self.text("event_id")) != self.derived_id()
+        return F.when(
+            ~F.schema_of_variant(self.variant).startswith("OBJECT"),
+            only("model_type", "", "Input should be an object"),
+        ).otherwise(
+            aside(
+                self.errors(),
+                lambda found: F.when((F.size(found) == 0) & underived, not_derived).otherwise(found),
+            )
+        )
 
 
 _POSITION = ("topic", "partition", "offset")
-_KEPT = (*_POSITION, "key", "value", "headers")
-
+_TEXT = ("event_type", "system", "object", "entity_type", "entity_key")
 _FAST_SCHEMA = (
-    "struct<schema_version:bigint,event_id:string,event_type:string,"
-    "source:struct<system:variant,object:variant>,entity_type:variant,entity_key:variant,"
-    "entity_version:bigint,occurred_at:string,captured_at:string,batch_id:string,"
-    "payload:variant,_seal:string>"
+    "struct<schema_version:bigint,event_id:string,event_type:string,source:variant,"
+    "entity_type:variant,entity_key:variant,entity_version:bigint,occurred_at:string,"
+    "captured_at:string,batch_id:string,payload:variant,_seal:string>"
 )
+_PLAIN_SOURCE = "OBJECT<object: STRING, system: STRING>"
 # The parser's lenient defaults are not JSON.
 _STRICT = {"allowNonNumericNumbers": "false", "allowSingleQuotes": "false"}
 
@@ -300,56 +320,89 @@ def _with_fast_parse(df: DataFrame) -> DataFrame:
             F.lit('"}'),
         ),
     )
-    parsed = (
-        df.withColumn("_hash", F.sha2(text, 256))
-        .withColumn("_e", F.from_json(sealed, _FAST_SCHEMA, _STRICT))
-        .withColumn("_payload", F.to_json("_e.payload"))
+    parsed = df.withColumn("_hash", F.sha2(text, 256)).withColumn(
+        "_e", F.from_json(sealed, _FAST_SCHEMA, _STRICT)
     )
-    texts = {
-        "_system": "_e.source.system",
-        "_object": "_e.source.object",
-        "_type": "_e.entity_type",
-        "_key": "_e.entity_key",
-    }
+
+    def text_of(path: str) -> Column:
+        return F.when(F.schema_of_variant(path) == "STRING", F.try_variant_get(path, "$", "string"))
+
     read = parsed.select(
-        "*",
-        *[
-            F.when(
-                F.schema_of_variant(path) == "STRING", F.try_variant_get(path, "$", "string")
-            ).alias(name)
-            for name, path in texts.items()
-        ],
-        times.parse_offset_timestamp(F.col("_e.occurred_at")).alias("_occurred"),
-        times.parse_offset_timestamp(F.col("_e.captured_at")).alias("_captured"),
+        *_POSITION,
+        "key",
+        "value",
+        "headers",
+        "_text",
+        (
+            (F.col("_e._seal") == F.col("_hash"))
+            & (F.size(F.json_object_keys("_text")) == len(ENVELOPE_FIELDS))
+            & (F.col("_e.schema_version") == SCHEMA_VERSION)
+            & (F.schema_of_variant("_e.source") == _PLAIN_SOURCE)
+        ).alias("_shaped"),
+        F.lower("_e.event_id").alias("event_id"),
+        F.col("_e.event_type").alias("event_type"),
+        F.try_variant_get("_e.source", "$.system", "string").alias("system"),
+        F.try_variant_get("_e.source", "$.object", "string").alias("object"),
+        text_of("_e.entity_type").alias("entity_type"),
+        text_of("_e.entity_key").alias("entity_key"),
+        F.col("_e.entity_version").alias("entity_version"),
+        times.parse_offset_timestamp(F.col("_e.occurred_at")).alias("occurred_at"),
+        times.parse_offset_timestamp(F.col("_e.captured_at")).alias("captured_at"),
+        F.lower("_e.batch_id").alias("batch_id"),
+        F.col("_e.payload").alias("payload_variant"),
+        F.to_json("_e.payload").alias("payload"),
     )
+    derived = ids.event_id(*[F.col(n) for n in ("system", "object", "entity_type", "entity_key")],
+                           F.col("entity_version"))
     as_expected = (
-        (F.col("_e._seal") == F.col("_hash"))
-        & (F.size(F.json_object_keys("_text")) == len(ENVELOPE_FIELDS))
-        & (F.col("_e.schema_version") == SCHEMA_VERSION)
-        & F.col("_e.event_id").rlike(ids.UUID_PATTERN)
-        & F.col("_e.event_type").isin(*EVENT_TYPES)
-        & (F.length("_system") > 0)
-        & (F.length("_object") > 0)
-        & F.col("_type").rlike(ENTITY_TYPE_PATTERN)
-        & ~F.contains("_type", F.lit("\n"))
-        & F.length("_key").between(1, MAX_ENTITY_KEY)
-        & (F.col("_e.entity_version") >= 1)
-        & F.col("_occurred").isNotNull()
-        & F.col("_captured").isNotNull()
-        & F.col("_e.batch_id").rlike(ids.UUID_PATTERN)
-        & F.startswith("_payload", F.lit("{"))
+        F.col("_shaped")
+        & F.col("event_type").isin(*EVENT_TYPES)
+        & (F.length("system") > 0)
+        & (F.length("object") > 0)
+        & F.col("entity_type").rlike(ENTITY_TYPE_PATTERN)
+        & ~F.contains("entity_type", F.lit("\n"))
+        & F.length("entity_key").between(1, MAX_ENTITY_KEY)
+        & (F.col("entity_version") >= 1)
+        & F.col("occurred_at").isNotNull()
+        & F.col("captured_at").isNotNull()
+        & F.col("batch_id").rlike(ids.UUID_PATTERN)
+        & F.startswith("payload", F.lit("{"))
+        & (F.col("event_id") == F.col("_derived"))
     )
-    # An unknown member of ``source`` would have been ignored by the typed pass.
-    return read.withColumn(
-        "_fast",
-        F.coalesce(as_expected, F.lit(False)) & ~_may_extend_source(F.col("_text")),
+    return (
+        read.withColumn("_derived", derived)
+        .withColumn("_fast", F.coalesce(as_expected, F.lit(False)))
+        .drop("_shaped", "_derived")
     )
 
 
-def _may_extend_source(text: Column) -> Column:
-    """False only if the ``source`` object is plain: two members, both texts."""
-    plain = r'"source"\s*:\s*\{\s*"(system|object)"\s*:\s*"[^"\\]*"\s*,\s*"(system|object)"\s*:\s*"[^"\\]*"\s*\}'
-    return ~text.rlike(plain)
+def _examined_closely() -> Column:
+    """Errors and members of a record that the typed pass did not take."""
+
+    def members(variant: Column) -> Column:
+        doc = _Document(variant)
+        errors = (
+            F.when(F.col("value").isNull(), only("missing_value", "", "record has no value"))
+            .when(variant.isNull(), only("json_invalid", "", "Invalid JSON"))
+            .otherwise(doc.all_errors())
+        )
+        return F.struct(
+            errors.alias("errors"),
+            F.lower(doc.text("event_id")).alias("event_id"),
+            doc.text("event_type").alias("event_type"),
+            doc.text("source.system").alias("system"),
+            doc.text("source.object").alias("object"),
+            doc.text("entity_type").alias("entity_type"),
+            doc.text("entity_key").alias("entity_key"),
+            doc.version().alias("entity_version"),
+            doc.moment("occurred_at").alias("occurred_at"),
+            doc.moment("captured_at").alias("captured_at"),
+            F.lower(doc.text("batch_id")).alias("batch_id"),
+            doc.value("payload").alias("payload_variant"),
+            F.to_json(doc.value("payload")).alias("payload"),
+        )
+
+    return aside(F.col("_text"), lambda text: aside(parse_document(text), members))
 
 
 def decode(records: DataFrame) -> DataFrame:
@@ -359,120 +412,53 @@ def decode(records: DataFrame) -> DataFrame:
     nulls there and what the headers and the key still tell. The errors name
     fields and kinds and never repeat a value.
     """
-    value = F.col("value").cast("string")
-    text = records.select(*_KEPT).withColumn("_text", F.when(F.is_valid_utf8(value), value))
-    fast = _with_fast_parse(text)
-    # Null for the records already read, for which all that follows costs nothing.
-    rest = fast.withColumn("_rest", F.when(~F.col("_fast"), F.col("_text")))
-    return _check_derived_id(_typed(_with_errors(_with_fields(with_document(rest, "_rest", "_doc"), "_doc"))))
-
-
-def _with_errors(fields: DataFrame) -> DataFrame:
-    is_object = F.schema_of_variant("_doc").startswith("OBJECT")
-    no_value = error("missing_value", "", "record has no value")
-    not_json = error("json_invalid", "", "Invalid JSON")
-    not_object = error("model_type", "", "Input should be an object")
-    checked = fields.select(
-        "*",
-        F.json_object_keys("_rest").alias("_names"),
-        F.json_object_keys(F.to_json("_v_source")).alias("_source_names"),
-        F.when(F.col("_fast"), none())
-        .when(F.col("value").isNull(), F.array(no_value).cast(ERROR))
-        .when(F.col("_doc").isNull(), F.array(not_json).cast(ERROR))
-        .when(~is_object, F.array(not_object).cast(ERROR))
-        .otherwise(_envelope_errors())
-        .alias("_errors"),
-    )
-    is_document = ~F.col("_fast") & F.schema_of_variant("_doc").startswith("OBJECT")
-    return checked.withColumn(
-        "_errors",
-        F.when(
-            is_document,
-            F.concat(
-                "_errors",
-                _extra_errors(F.col("_names"), ENVELOPE_FIELDS, ""),
-                _extra_errors(F.col("_source_names"), SOURCE_FIELDS, "source."),
-            ),
-        ).otherwise(F.col("_errors")),
+    raw = F.col("value").cast("string")
+    text = records.select(
+        *_POSITION, "key", "value", "headers", F.when(F.is_valid_utf8(raw), raw).alias("_text")
     )
+    fast = F.col("_fast")
+    checked = _with_fast_parse(text).withColumn("_slow", F.when(~fast, _examined_closely()))
+    ok = fast | (F.size("_slow.errors") == 0)
 
-
-def _typed(checked: DataFrame) -> DataFrame:
-    fast, ok = F.col("_fast"), F.size("_errors") == 0
-
-    def read(name: str, quick: Column, slow: Column) -> Column:
-        return F.when(fast, quick).when(ok, slow).alias(name)
-
-    def moment(path: str) -> Column:
-        return times.parse_offset_timestamp(_string(path))
-
-    return checked.select(
-        *_KEPT,
-        F.col("_errors"),
-        F.when(ok, F.lit(SCHEMA_VERSION)).alias("schema_version"),
-        read("event_id", F.lower("_e.event_id"), F.lower(_string("event_id"))),
-        read("event_type", F.col("_e.event_type"), _string("event_type")),
-        read("_system", F.col("_system"), _string("source.system")),
-        read("_object", F.col("_object"), _string("source.object")),
-        read("entity_type", F.col("_type"), _string("entity_type")),
-        read("entity_key", F.col("_key"), _string("entity_key")),
-        read("entity_version", F.col("_e.entity_version"), F.col("_number")),
-        read("occurred_at", F.col("_occurred"), moment("occurred_at")),
-        read("captured_at", F.col("_captured"), moment("captured_at")),
-        read("batch_id", F.lower("_e.batch_id"), F.lower(_string("batch_id"))),
-        read("_variant", F.col("_e.payload"), _value("payload")),
-        read("payload", F.col("_payload"), F.to_json(_value("payload"))),
-    )
-
-
-def _check_derived_id(parsed: DataFrame) -> DataFrame:
-    """The id must follow from the identity; only then is it safe to dedup on."""
-    not_derived = error(
-        "value_error",
-        "",
-        "Value error, event_id must be derived from"
-        " (source, entity_type, entity_key, entity_version)",
-    )
-    derived = ids.event_id(
-        F.col("_system"),
-        F.col("_object"),
-        F.col("entity_type"),
-        F.col("entity_key"),
-        F.col("entity_version"),
-    )
-    rows = parsed.withColumn("_derived", derived).withColumn(
-        "errors",
-        F.when(
-            (F.size("_errors") == 0) & (F.col("event_id") != F.col("_derived")),
-            F.array(not_derived).cast(ERROR),
-        ).otherwise(F.col("_errors")),
-    )
-    ok = F.size("errors") == 0
-
-    def if_ok(name: str, otherwise: Column | None = None) -> Column:
-        chosen = F.when(ok, F.col(name))
+    def read(name: str, otherwise: Column | None = None) -> Column:
+        chosen = F.when(fast, F.col(name)).when(ok, F.col(f"_slow.{name}"))
         return (chosen if otherwise is None else chosen.otherwise(otherwise)).alias(name)
 
     def header(name: str) -> Column:
         return ids.uuid_or_null(F.element_at("headers", name))
 
-    source = F.struct(F.col("_system").alias("system"), F.col("_object").alias("object"))
-    return rows.select(
+    flat = checked.select(
+        *_POSITION,
+        "value",
+        F.when(fast, none()).otherwise(F.col("_slow.errors")).alias("errors"),
+        ok.alias("_ok"),
+        read("event_id", aside(F.col("headers"), lambda _: header("event_id"))),
+        *[read(name) for name in _TEXT if name != "entity_key"],
+        read("entity_key", F.make_valid_utf8(F.col("key").cast("string"))),
+        read("entity_version"),
+        read("occurred_at"),
+        read("captured_at"),
+        read("batch_id", aside(F.col("headers"), lambda _: header("batch_id"))),
+        read("payload_variant"),
+        read("payload"),
+    )
+    source = F.struct("system", "object")
+    return flat.select(
         *_POSITION,
         "value",
         "errors",
-        if_ok("schema_version"),
-        if_ok("event_id", header("event_id")),
-        if_ok("event_type"),
-        F.when(ok, source).alias("source"),
-        if_ok("entity_type"),
-        if_ok("entity_key", F.make_valid_utf8(F.col("key").cast("string"))),
-        if_ok("entity_version"),
-        if_ok("occurred_at"),
-        if_ok("captured_at"),
-        if_ok("batch_id", header("batch_id")),
-        if_ok("payload"),
-        F.when(ok, F.col("_variant")).alias("payload_variant"),
+        F.when(F.col("_ok"), F.lit(SCHEMA_VERSION)).alias("schema_version"),
+        "event_id",
+        "event_type",
+        F.when(F.col("_ok"), source).alias("source"),
+        "entity_type",
+        "entity_key",
+        "entity_version",
+        "occurred_at",
+        "captured_at",
+        "batch_id",
+        "payload",
+        "payload_variant",
     )
 
 

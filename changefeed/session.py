@@ -21,6 +21,8 @@ PREFERRED = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.compression.codec": "zstd",
+    # Records go to one folder per verdict; this many open files spare the sort.
+    "spark.sql.maxConcurrentOutputFileWriters": "16",
 }
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"

@@ -52,7 +52,9 @@ class Tables:
         writer = df.write.mode("overwrite")
         if table == "records":
             # Point lookups by id skip the row groups that cannot hold it.
-            writer = writer.option("parquet.bloom.filter.enabled#event_id", "true")
+            writer = writer.option("parquet.bloom.filter.enabled#event_id", "true").option(
+                "parquet.bloom.filter.adaptive.enabled", "true"
+            )
         if partitions:
             writer = writer.partitionBy(*partitions)
         writer.parquet(self.path(table, epoch))
