@@ -19,6 +19,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from changefeed.functions import built_once
 from changefeed.functions.text import python_repr
 from changefeed.functions.times import iso_offset, parse_iso_date, parse_iso_timestamp
 from changefeed.schemas import ENTITY_TYPE_PATTERN, VIOLATION
@@ -305,7 +306,13 @@ class RuleSet:
         members = events.withColumn(
             "_f", F.try_variant_get("payload_variant", "$", f"struct<{wanted}>")
         )
+        kept = [F.col(name) for name in events.columns if name != into]
+        found = built_once(("rules", self.fingerprint), self._violations)
+        return members.select(*kept, found.alias(into))
+
+    def _violations(self) -> Column:
         event = Event(F.col("entity_key"), F.col("captured_at"))
+        none = F.array().cast(VIOLATION)
 
         def value(field: str) -> Value:
             variant = F.try_variant_get("payload_variant", _path(field), "variant")
@@ -315,8 +322,7 @@ class RuleSet:
         for entity, rules in self.entities.items():
             hits = F.concat(none, *[rule.violations(value(rule.field), event) for rule in rules])
             found = F.when(F.col("entity_type") == entity, hits).otherwise(found)
-        kept = [F.col(name) for name in events.columns if name != into]
-        return members.select(*kept, found.alias(into))
+        return found
 
 
 def _path(field: str) -> str:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from changefeed.functions import ids, times
+from changefeed.functions import built_once, ids, times
 from changefeed.schemas import (
     ENTITY_TYPE_PATTERN,
     ENVELOPE_FIELDS,
@@ -417,7 +417,9 @@ def decode(records: DataFrame) -> DataFrame:
         *_POSITION, "key", "value", "headers", F.when(F.is_valid_utf8(raw), raw).alias("_text")
     )
     fast = F.col("_fast")
-    checked = _with_fast_parse(text).withColumn("_slow", F.when(~fast, _examined_closely()))
+    checked = _with_fast_parse(text).withColumn(
+        "_slow", F.when(~fast, built_once("envelope", _examined_closely))
+    )
     ok = fast | (F.size("_slow.errors") == 0)
 
     def read(name: str, otherwise: Column | None = None) -> Column:

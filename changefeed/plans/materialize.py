@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -51,11 +53,7 @@ def resolve_epoch(records: DataFrame, tables: Tables, rules: RuleSet, epoch: int
     narrow = events.select("entity_type", "entity_key", "entity_version", "ord")
     touched = None if versions is None else resolve.versions_of(narrow, versions, few_events=few)
     decided = resolve.with_outcome(narrow, touched)
-    tables.write(resolve.outcome_counts(written, decided).coalesce(1), "outcomes", epoch)
     best = resolve.best_versions(events, F.current_timestamp())
-    tables.write(
-        resolve.newer_only(best, None if touched is None else _highest(touched)), "state", epoch
-    )
     rejected = written.where(~F.col("verdict").isin(ACCEPTED, DUPLICATE))
     found = resolve.quarantine_rows(
         rejected.withColumnRenamed("raw_bytes", "value"),
@@ -65,8 +63,17 @@ def resolve_epoch(records: DataFrame, tables: Tables, rules: RuleSet, epoch: int
     if not first_epoch:
         earlier = tables.quarantine(epoch).select("quarantine_id")
         found = found.join(earlier, "quarantine_id", "left_anti")
-    tables.write(found, "quarantine", epoch)
-    tables.write(commit_offsets(examined).coalesce(1), "offsets", epoch)
+    sinks = {
+        "outcomes": resolve.outcome_counts(written, decided).coalesce(1),
+        "state": resolve.newer_only(best, None if touched is None else _highest(touched)),
+        "quarantine": found,
+        "offsets": commit_offsets(examined).coalesce(1),
+    }
+    # All four read what is written already; side by side they fill the cluster.
+    with ThreadPoolExecutor(len(sinks)) as pool:
+        writes = [pool.submit(tables.write, df, name, epoch) for name, df in sinks.items()]
+        for write in writes:
+            write.result()
     tables.commit(epoch, next_seq=totals[0], records=count)
     return count
 
