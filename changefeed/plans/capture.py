@@ -122,18 +122,16 @@ class Capture:
         now = as_of or _now(self.spark)
         bound = changes.settle_bound(moment(now), self.settle_seconds)
         changed = changes.changed_since(source, spec, state.cursor, bound)
-        # Nulls never satisfy the bound, so they are looked for in the source.
-        self._check_contract(source)
         staged = stage(
             positions.range_ordered(changed, spec.updated_at, spec.key),
             "capture",
             path=f"{self.root}/staging",
         )
+        total = self._check_contract(staged)
         if changes.order_violations(staged, spec, state.cursor).limit(1).count():
             raise changes.CursorRegression("rows share a position or precede the watermark")
         ranked = positions.with_rank(staged, "_rank")
         ranked = ranked.withColumn("_batch", batch_number(F.col("_rank"), self.batch_size))
-        total = staged.count()
         rows = total
         if max_batches is not None:
             ranked = ranked.where(F.col("_batch") < max_batches)
@@ -145,7 +143,7 @@ class Capture:
                 self._end(cycle, state.cursor, 0, 0, state.last_batch_id, True)
             return CycleResult(state.mode, 0, 0, caught_up)
         events = self._events(ranked, cycle, now)
-        batches = self.ledger.begin(self._batch_rows(events, state, cycle, bound), cycle)
+        batches = self.ledger.begin(self._batch_rows(ranked, rows, state, cycle, bound), cycle)
         newest = batches.orderBy(F.col("batch_no").desc())
         last = newest.select(
             "batch_no", "batch_id", "cursor_end_key", F.unix_micros("cursor_end_at").alias("at")
@@ -167,10 +165,14 @@ class Capture:
         )
         return CycleResult(state.mode, last["batch_no"] + 1, rows, caught_up)
 
-    def _check_contract(self, source: DataFrame) -> None:
-        found = changes.contract_violations(source, self.spec).first().asDict()
+    def _check_contract(self, fetched: DataFrame) -> int:
+        """The number of rows, all of which keep the contract."""
+        counted = changes.contract_violations(fetched, self.spec, F.count(F.lit(1)).alias("rows"))
+        found = counted.first().asDict()
+        total = found.pop("rows")
         if any(found.values()):
             raise changes.ContractError(f"rows break the source contract: {found}")
+        return total
 
     def _end(
         self,
@@ -210,34 +212,59 @@ class Capture:
         )
 
     def _batch_rows(
-        self, events: DataFrame, state: SyncState, cycle: int, bound: Column
+        self, ranked: DataFrame, rows: int, state: SyncState, cycle: int, bound: Column
     ) -> DataFrame:
-        summary = batch_summary(
-            events.withColumn("batch_no", F.col("_batch")), "batch_no", at="_at", key="_key"
+        """One row per batch: counts, and what its first and last row tell.
+
+        The boundary rows are known by their rank, so only the counts need an
+        aggregation.
+        """
+        spec, size = self.spec, self.batch_size
+        rank, version = F.col("_rank"), F.col(spec.version).cast("bigint")
+        key = F.col(spec.key).cast("string")
+        edge = ranked.select(
+            F.col("_batch").alias("batch_no"),
+            "_rank",
+            F.col(spec.updated_at).cast("timestamp").alias("at"),
+            key.alias("key"),
+            ids.event_id(
+                F.lit(spec.system), F.lit(spec.object), F.lit(spec.entity_type), key, version
+            ).alias("event_id"),
         )
-        spec = self.spec
-        cursor = state.cursor
-        starts = summary.select(
-            (F.col("batch_no") + 1).alias("batch_no"),
-            F.col("cursor_end_at").alias("_at"),
-            F.col("cursor_end_key").cast("string").alias("_key"),
+        first = edge.where((rank - 1) % size == 0).select(
+            "batch_no", F.col("event_id").alias("first_event_id")
+        )
+        last = edge.where((rank % size == 0) | (rank == rows)).select(
+            "batch_no",
+            F.col("at").alias("cursor_end_at"),
+            F.col("key").alias("cursor_end_key"),
+            F.col("event_id").alias("last_event_id"),
+        )
+        start = edge.where(rank % size == 0).select(
+            (F.col("batch_no") + 1).alias("batch_no"), F.col("at").alias("_at"),
+            F.col("key").alias("_key"),
+        )
+        counts = ranked.groupBy(F.col("_batch").alias("batch_no")).agg(
+            F.count(F.lit(1)).alias("row_count"), F.count_if(version == 1).alias("inserts")
         )
+        cursor = state.cursor
         name = F.concat(F.lit(f"batch|{spec.source_id}|{cycle}|"), F.col("batch_no").cast("string"))
         first_at = F.lit(None).cast("timestamp") if cursor is None else moment(cursor.updated_at)
         first_key = F.lit(None if cursor is None else str(cursor.key)).cast("string")
-        return summary.join(starts, "batch_no", "left").select(
+        whole = counts.join(last, "batch_no").join(first, "batch_no").join(start, "batch_no", "left")
+        return whole.select(
             F.lit(spec.source_id).alias("source_id"),
             ids.uuid5(EVENT_ID_NAMESPACE, name).alias("batch_id"),
             "batch_no",
             F.lit(state.mode).alias("sync_mode"),
             F.coalesce("_at", first_at).alias("cursor_start_at"),
             F.coalesce("_key", first_key).alias("cursor_start_key"),
-            F.col("cursor_end_at").cast("timestamp").alias("cursor_end_at"),
-            F.col("cursor_end_key").cast("string").alias("cursor_end_key"),
+            "cursor_end_at",
+            "cursor_end_key",
             bound.alias("upper_bound"),
             "row_count",
             "inserts",
-            "updates",
+            (F.col("row_count") - F.col("inserts")).alias("updates"),
             "first_event_id",
             "last_event_id",
             F.current_timestamp().alias("started_at"),

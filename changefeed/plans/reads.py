@@ -187,6 +187,14 @@ def violations_by_rule(quarantine: DataFrame) -> DataFrame:
     )
 
 
+def side_by_side(*single_rows: DataFrame) -> DataFrame:
+    """Frames of one row each as one row, without a join."""
+    stacked = single_rows[0]
+    for other in single_rows[1:]:
+        stacked = stacked.unionByName(other, allowMissingColumns=True)
+    return stacked.agg(*[F.max(name).alias(name) for name in stacked.columns])
+
+
 def stats_totals(log: DataFrame, state: DataFrame, outcomes: DataFrame) -> DataFrame:
     """One row of totals, each table read once."""
     events = log.agg(
@@ -199,8 +207,7 @@ def stats_totals(log: DataFrame, state: DataFrame, outcomes: DataFrame) -> DataF
     duplicates = outcomes.where(F.col("outcome") == "duplicate").agg(
         F.coalesce(F.max("records"), F.lit(0).cast("bigint")).alias("duplicates")
     )
-    # Three single rows.
-    return events.join(entities, F.lit(True)).join(duplicates, F.lit(True))
+    return side_by_side(events, entities, duplicates)
 
 
 def record_lag(log: DataFrame) -> DataFrame:
@@ -284,8 +291,8 @@ QUARANTINE_CONTENT = ["quarantine_id"]
 
 
 def table_checksums(state: DataFrame, log: DataFrame, quarantine: DataFrame) -> DataFrame:
-    return (
-        checksum(state, STATE_CONTENT, prefix="state")
-        .join(checksum(log, LOG_CONTENT, prefix="log"), F.lit(True))
-        .join(checksum(quarantine, QUARANTINE_CONTENT, prefix="quarantine"), F.lit(True))
+    return side_by_side(
+        checksum(state, STATE_CONTENT, prefix="state"),
+        checksum(log, LOG_CONTENT, prefix="log"),
+        checksum(quarantine, QUARANTINE_CONTENT, prefix="quarantine"),
     )

@@ -18,7 +18,7 @@ from changefeed.queries import query
 from changefeed.queries.sql import event_uuid
 from changefeed.schemas import EVENT_ID_NAMESPACE
 from changefeed.queries.tables import once
-from changefeed.session import stage
+from changefeed.session import spread, stage
 from changefeed.sources import changes, orders
 from changefeed.sources.orders import ORDERS_SPEC as SPEC
 
@@ -156,13 +156,10 @@ def synthetic_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce(F.max("o_orderkey"), F.lit(0)).alias("mx")
     )
     numbers = orders.table(spark, sf_dir, "customer").select((F.col("c_custkey") + 1).alias("n"))
-    # One row.
-    numbered = numbers.join(F.broadcast(last), F.lit(True))
-    return _flat(
-        orders.synthetic_orders(
-            numbered, number="n", key_offset=F.col("mx"), loaded_at=moment(LOADED)
-        )
+    rows = orders.synthetic_orders(
+        numbers, number="n", key_offset=last.scalar(), loaded_at=moment(LOADED)
     )
+    return _flat(rows)
 
 
 _PAYLOAD = (
@@ -178,7 +175,7 @@ _PAYLOAD = (
 @query("payload", f"WITH {_SOURCE} SELECT o_orderkey, {_PAYLOAD} AS payload FROM source")
 def payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Payload objects with their members in name order."""
-    rows = _source(spark, sf_dir)
+    rows = spread(_source(spark, sf_dir))
     text = rows.select("o_orderkey", payload_json(rows).alias("payload"))
     return text.select("o_orderkey", F.to_json(F.parse_json("payload")).alias("payload"))
 
@@ -226,7 +223,7 @@ _EVENT_ID = event_uuid("'parquet|orders|order|' || o_orderkey || '|' || row_vers
 def change_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     batch = F.concat(F.lit("batch|"), F.floor(F.col("o_orderkey") / 1000).cast("string"))
     events = to_events(
-        _source(spark, sf_dir),
+        spread(_source(spark, sf_dir)),
         SPEC,
         captured_at=moment(LOADED),
         batch_id=ids.uuid5(EVENT_ID_NAMESPACE, batch),
