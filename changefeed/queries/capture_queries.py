@@ -347,13 +347,16 @@ def versioned_update(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _capture(spark: SparkSession, sf_dir: str) -> Capture:
     """Two cycles over the orders: up to a bound, then the rest."""
-    root, done = once(spark, sf_dir, "capture")
-    capture = Capture(spark, root, SPEC, settle_seconds=0, batch_size=BATCH)
-    if not done:
-        source = _source(spark, sf_dir)
+
+    def open_at(path: str) -> Capture:
+        return Capture(spark, path, SPEC, settle_seconds=0, batch_size=BATCH)
+
+    def build(path: str) -> None:
+        capture, source = open_at(path), _source(spark, sf_dir)
         capture.run_cycle(source, as_of=BOUND)
         capture.run_cycle(source, as_of=LOADED)
-    return capture
+
+    return open_at(once(spark, sf_dir, "capture", build))
 
 
 _CYCLES = f"""{_SOURCE},

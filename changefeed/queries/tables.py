@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,27 +17,29 @@ from changefeed.streaming.tables import Tables, path_exists
 _BUILT: dict[tuple[str, str, str], str] = {}
 
 
-def once(spark: SparkSession, sf_dir: str, what: str) -> tuple[str, bool]:
-    """The folder of something built once, and whether it is there already."""
+def once(spark: SparkSession, sf_dir: str, what: str, build: Callable[[str], object]) -> str:
+    """The folder that ``build`` filled, at its first call in this session."""
     key = (spark.sparkContext.applicationId, sf_dir, what)
-    if key in _BUILT and path_exists(spark, _BUILT[key]):
-        return _BUILT[key], True
-    _BUILT[key] = f"{shared_dir(spark)}/changefeed/{what}-{uuid.uuid4().hex}"
-    return _BUILT[key], False
+    if key not in _BUILT or not path_exists(spark, _BUILT[key]):
+        path = f"{shared_dir(spark)}/changefeed/{what}-{uuid.uuid4().hex}"
+        build(path)
+        _BUILT[key] = path
+    return _BUILT[key]
 
 
 def examined(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The decoded feed, staged: several queries read it more than once."""
-    path, done = once(spark, sf_dir, "examined")
-    if done:
-        return spark.read.parquet(path)
-    return stage(resolve.examine(change_log(spark, sf_dir), load_rules()), "examined", path=path)
+
+    def build(path: str) -> None:
+        stage(resolve.examine(change_log(spark, sf_dir), load_rules()), "examined", path=path)
+
+    return spark.read.parquet(once(spark, sf_dir, "examined", build))
 
 
 def sink(spark: SparkSession, sf_dir: str) -> Tables:
     """The feed resolved into tables."""
-    path, done = once(spark, sf_dir, "sink")
-    tables = Tables(spark, path)
-    if not done:
-        resolve_epoch(change_log(spark, sf_dir), tables, load_rules(), 0)
-    return tables
+
+    def build(path: str) -> None:
+        resolve_epoch(change_log(spark, sf_dir), Tables(spark, path), load_rules(), 0)
+
+    return Tables(spark, once(spark, sf_dir, "sink", build))
