@@ -74,7 +74,7 @@ def first_acceptable(examined: DataFrame) -> DataFrame:
     ok = ~F.col("breaks_rule") & ~F.col("unstorable")
     first = F.min(F.when(ok, F.struct("ord", "fingerprint")))
     return (
-        examined.where("is_event")
+        examined.where(F.col("is_event") & F.col("event_id").isNotNull())
         .groupBy("event_id")
         .agg(F.count(F.lit(1)).alias("copies"), first.alias("_first"))
         .select(

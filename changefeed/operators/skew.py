@@ -32,7 +32,10 @@ def attach_summary(
     match there, and no task receives all copies of one key.
     """
     values = [name for name in summary.columns if name not in (key, weight)]
-    packed = F.struct(*[F.col(name) for name in values])
+    # Both sides below use every column and only non-null keys: then their plans
+    # are equal, and Spark computes the summary once and reuses its shuffle.
+    summary = summary.where(F.col(key).isNotNull())
+    packed = F.struct(weight, *values)
     heavy = heavy_keys(summary, [key], weight).select(F.col(key), packed.alias("_heavy"))
     plain = summary.select(F.col(key).alias("_key"), packed.alias("_plain"))
     dealt = F.concat(F.lit("#"), spread.cast("string"))
