@@ -10,7 +10,18 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from changefeed.llm import bin_slack, bit_planes, divergence, patricia, pivotal_mix, url_graph
+from changefeed.llm import (
+    bin_slack,
+    bit_planes,
+    counterfactual,
+    divergence,
+    golay,
+    patricia,
+    pitman_yor,
+    pivotal_mix,
+    suffix_trees,
+    url_graph,
+)
 from changefeed.llm.common import table
 from changefeed.session import configure
 
@@ -39,15 +50,27 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_graph.judge(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
 
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitman_yor.scored(table(spark, sf_dir, "documents"))
+
+
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = pivotal_mix.mix_ids(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_trees.cleaned(table(spark, sf_dir, "documents"), with_text=False).drop("kept")
+
+
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.judge(table(spark, sf_dir, "documents").select("doc_id", "text", "lang")).drop("lang")
 
 
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return golay.near_groups(table(spark, sf_dir, "documents"))
+
+
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     return patricia.judged(documents, keep="max").select(
@@ -55,6 +78,10 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return counterfactual.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bin_slack.pack(table(spark, sf_dir, "documents"))
 
@@ -81,9 +108,13 @@ QUERIES: dict[str, Query] = {
     name: _prepared(run)
     for name, run in {
         "op1_url_filter": op1,
+        "op2_lm_score": op2,
         "op3_mix": op3,
+        "op4_substring_dedup": op4,
         "op5_quality": op5,
+        "op6_near_dedup": op6,
         "op7_exact_dedup": op7,
+        "op8_toxicity": op8,
         "op9_pack": op9,
         "op10_token_files": op10,
     }.items()
