@@ -64,12 +64,12 @@ def char_classes(text: Column) -> Column:
 
 
 def features(documents: DataFrame, *, common: Sequence[str] = tuple(COMMON_WORDS)) -> DataFrame:
-    """Counts of every document: ``doc_id``, ``lang``, the rules' base counts and histograms.
+    """The documents with the rules' base counts and the histograms.
 
     Windows of words are compared by 64-bit hashes within their document.
     """
-    text = F.col("text")
-    split = documents.withColumn("text", F.coalesce(F.col("text").cast("string"), F.lit(""))).withColumn(
+    text = F.col("__text")
+    split = documents.withColumn("__text", F.coalesce(F.col("text").cast("string"), F.lit(""))).withColumn(
         "words", words(text)
     )
     hashed = F.transform(
@@ -78,7 +78,7 @@ def features(documents: DataFrame, *, common: Sequence[str] = tuple(COMMON_WORDS
     )
     lines = F.filter(F.split(text, "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
     counted = split.select(
-        *documents.drop("text").columns,
+        *documents.columns,
         F.size("words").cast("long").alias("n_words"),
         F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
         _length_without(text, r"[^#*$%&|<>]+").cast("long").alias("n_symbols"),
@@ -115,7 +115,7 @@ def features(documents: DataFrame, *, common: Sequence[str] = tuple(COMMON_WORDS
     bins = F.array(*(F.lit(c) for c in common))
     per_word = F.transform(bins, lambda c: (F.size("hits") - F.size(F.array_remove("hits", c))).cast("long"))
     return twice.select(
-        *documents.drop("text").columns,
+        *documents.columns,
         "n_words",
         "word_chars",
         "n_symbols",
@@ -164,14 +164,16 @@ def judge(
     max_word_distance: tuple[float, float] = MAX_WORD_DISTANCE,
     min_chars: int = MIN_CHARS_JUDGED,
     min_words: int = MIN_WORDS_JUDGED,
+    with_text: bool = True,
 ) -> DataFrame:
-    """The documents without their text, with counts, distances, ``base_failed``, ``kept``.
+    """The documents with counts, distances, ``base_failed`` and ``kept``.
 
     A null text is empty: no words, so the base rule rejects it. A null language is one of
     its own. Rows that repeat are judged alike. No rows give no rows. The input needs
     ``text`` and ``lang``; its columns that have names of results are replaced.
     """
-    counts = written(features(documents.drop(*RESULTS, "classes", "common")), "quality-counts")
+    counts = features(documents.drop(*RESULTS, "classes", "common"))
+    counts = written(counts if with_text else counts.drop("text"), "quality-counts")
     found = references(counts)
     distances = counts.withColumn("shares", _shares(F.col("classes"))).withColumn(
         "word_shares", _shares(F.col("common"))
@@ -197,9 +199,6 @@ def judge(
     )
 
 
-def kept_documents(documents: DataFrame) -> DataFrame:
-    """The documents that pass, all columns."""
-    row = "__row"
-    keyed = documents.withColumn(row, F.xxhash64(*(F.col(f"`{c}`") for c in documents.columns)))
-    verdicts = judge(keyed.select(row, "text", "lang")).where("kept").select(row).distinct()
-    return keyed.join(verdicts, row, "left_semi").drop(row)
+def kept_documents(documents: DataFrame, **options: object) -> DataFrame:
+    """The documents that pass, with the columns they came with."""
+    return judge(documents, **options).where("kept").select(*documents.columns)

@@ -23,7 +23,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from changefeed.llm.common import run_starts, texts, written
@@ -57,18 +57,25 @@ def fingerprint(text: bytes, width: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(2 * ones > len(hashes), bitorder="little").tobytes(), "little")
 
 
+def _row_hash() -> Column:
+    return F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+
+
 def fingerprints(documents: DataFrame, *, width: int = SHINGLE) -> DataFrame:
-    """``doc_id`` and ``fp``, the fingerprint as a signed long; null is the empty text."""
+    """``doc_id``, ``row`` (a hash of id and text) and ``fp``, the fingerprint as a signed
+    long; a null text is empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = np.array([fingerprint(t, width) for t in texts(batch.column("text"))], np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(found.view(np.int64))], ["doc_id", "fp"]
+                [batch.column("doc_id"), batch.column("row"), pa.array(found.view(np.int64))], ["doc_id", "row", "fp"]
             )
 
-    source = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return source.mapInArrow(run, "doc_id long, fp long")
+    source = documents.select(
+        F.col("doc_id").cast("long"), _row_hash().alias("row"), F.col("text").cast("string")
+    )
+    return source.mapInArrow(run, "doc_id long, row long, fp long")
 
 
 @lru_cache(maxsize=1)
@@ -284,7 +291,20 @@ def links(fps: DataFrame, *, most: int = MOST_BITS, block: int = BLOCK) -> DataF
     return direct.unionByName(more)
 
 
-def near_groups(documents: DataFrame, *, most: int = MOST_BITS, width: int = SHINGLE, block: int = BLOCK) -> DataFrame:
+def _rooted(
+    documents: DataFrame, *, most: int = MOST_BITS, width: int = SHINGLE, block: int = BLOCK
+) -> tuple[DataFrame, DataFrame]:
+    """Rows with their fingerprint (and a hash of id and text), and fingerprints with their root."""
+    marked = written(fingerprints(documents, width=width), "fingerprints")
+    distinct = written(marked.select("fp").distinct(), "distinct-fingerprints")
+    labels = components(links(distinct, most=most, block=block))
+    roots = distinct.join(labels, distinct["fp"] == labels["node"], "left").select(
+        F.col("fp").alias("__fp"), F.coalesce("label", "fp").alias("root")
+    )
+    return marked, roots
+
+
+def near_groups(documents: DataFrame, **options: int) -> DataFrame:
     """``doc_id``, ``fingerprint`` and ``component_id`` of every document.
 
     Documents are linked if their fingerprints differ in at most ``most`` bits; the
@@ -292,25 +312,27 @@ def near_groups(documents: DataFrame, *, most: int = MOST_BITS, width: int = SHI
     fingerprint zero and are linked like any others. A null ``doc_id`` takes part and is
     never the smallest. Repeated rows are linked with each other. No rows give no rows.
     """
-    marked = written(fingerprints(documents, width=width), "fingerprints")
-    distinct = written(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
-    labels = components(links(distinct, most=most, block=block))
-    rooted = distinct.join(labels, distinct["fp"] == labels["node"], "left").select(
-        "fp", "least", F.coalesce("label", "fp").alias("root")
-    )
+    marked, roots = _rooted(documents, **options)
+    least = marked.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    rooted = least.join(roots, F.col("fp") == F.col("__fp")).select("__fp", "root", "least")
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    of_fp = rooted.select("fp", "root").join(smallest, "root").select(F.col("fp").alias("__fp"), "component_id")
+    of_fp = rooted.drop("least").join(smallest, "root").drop("root")
     return marked.join(of_fp, F.col("fp") == F.col("__fp")).select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
 
 
-def without_near_copies(documents: DataFrame, **options: object) -> DataFrame:
-    """One document of each group: the one with the smallest ``doc_id``; all columns.
-
-    Of rows that repeat that id one stays. Groups without any id keep one row.
-    """
-    groups = near_groups(documents, **options).select(F.col("doc_id").alias("__id"), "component_id").distinct()
-    keep = groups.where(F.col("__id").eqNullSafe(F.col("component_id"))).select("__id")
-    kept = documents.join(keep, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")), "left_semi")
-    return kept.dropDuplicates(["doc_id"])
+def without_near_copies(documents: DataFrame, **options: int) -> DataFrame:
+    """One document of each group, with the columns it came with: the smallest ``doc_id``,
+    of equal ids the text that hashes lowest, of equal rows one; null ids come last."""
+    marked, roots = _rooted(documents, **options)
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first")
+    least = marked.groupBy("fp").agg(first)
+    keep = (
+        least.join(roots, F.col("fp") == F.col("__fp"))
+        .groupBy("root")
+        .agg(F.min("first").alias("first"))
+        .select(F.col("first.row").alias("__row"))
+    )
+    keyed = documents.withColumn("__row", _row_hash())
+    return keyed.join(keep, "__row", "left_semi").dropDuplicates(["__row"]).select(*documents.columns)

@@ -64,7 +64,8 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return divergence.judge(table(spark, sf_dir, "documents").select("doc_id", "text", "lang")).drop("lang")
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return divergence.judge(documents, with_text=False).drop("lang")
 
 
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,6 +118,7 @@ QUERIES: dict[str, Query] = {
         "op8_toxicity": op8,
         "op9_pack": op9,
         "op10_token_files": op10,
+        "pipeline": pipeline,
     }.items()
 }
 ORACLES: dict[str, str] = {}
