@@ -125,7 +125,6 @@ def pack(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = tokens.encoder(vocabulary, kind)
-        end = end_id.to_bytes(4, "little")
         sequence = TaskContext.get().partitionId() << 36
         remaining = Pool(capacity)
         kept: dict[int, tuple[int | None, int, bytes, int]] = {}
@@ -156,18 +155,19 @@ def pack(
                 emit(window)
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                rows = batch.slice(at, 512)
-                texts = [t or "" for t in rows.column("text").to_pylist()]
-                for doc_id, ids in zip(rows.column("doc_id").to_pylist(), encode(texts), strict=True):
-                    ids += end
-                    total = len(ids) // 4
+            for at in range(0, batch.num_rows, tokens.TEXTS):
+                rows = batch.slice(at, tokens.TEXTS)
+                every, edges = encode(rows.column("text"), end_id)
+                edges = edges.tolist()
+                data = memoryview(every.astype("<u4").tobytes())
+                for doc_id, a, b in zip(rows.column("doc_id").to_pylist(), edges, edges[1:]):
+                    ids, total = data[4 * a : 4 * b], b - a
                     full = total - total % capacity
                     kept[number] = (doc_id, total, ids, 0)
                     for start in range(0, full, capacity):
                         emit([(number, start, capacity)])
                     if full < total:
-                        kept[number] = (doc_id, total, ids[4 * full :], full)
+                        kept[number] = (doc_id, total, bytes(ids[4 * full :]), full)
                         remaining.add(total - full, (number, full))
                     else:
                         del kept[number]

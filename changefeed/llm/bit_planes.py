@@ -70,24 +70,22 @@ class Writer:
         self.index: list[bytes] = []
         self.doc_ids: list[int | None] = []
         self.counts: list[int] = []
-        self.waiting, self.held, self.place, self.total = [], 0, 0, 0
+        self.waiting, self.place, self.total = b"", 0, 0
         self.put(HEADER.pack(MAGIC, block, planes))
 
     def put(self, data: bytes) -> None:
         self.out.write(data)
         self.place += len(data)
 
-    def add(self, doc_id: int | None, ids: bytes) -> None:
-        self.doc_ids.append(doc_id)
-        self.counts.append(len(ids) // 4)
-        self.waiting.append(ids)
-        self.held += len(ids)
-        if self.held >= 4 * self.block:
-            data = b"".join(self.waiting)
-            whole = len(data) - len(data) % (4 * self.block)
-            for at in range(0, whole, 4 * self.block):
-                self.put_block(data[at : at + 4 * self.block])
-            self.waiting, self.held = [data[whole:]], len(data) - whole
+    def add(self, doc_ids: list[int | None], counts: list[int], ids: bytes) -> None:
+        """Documents with their numbers of ids, and all their ids."""
+        self.doc_ids += doc_ids
+        self.counts += counts
+        data, size = self.waiting + ids, 4 * self.block
+        whole = len(data) - len(data) % size
+        for at in range(0, whole, size):
+            self.put_block(data[at : at + size])
+        self.waiting = data[whole:]
 
     def put_block(self, data: bytes) -> None:
         ids = np.frombuffer(data, "<u4")
@@ -99,8 +97,8 @@ class Writer:
             self.put(plane)
 
     def close(self) -> None:
-        if rest := b"".join(self.waiting):
-            self.put_block(rest)
+        if self.waiting:
+            self.put_block(self.waiting)
         index_at = self.place
         self.put(b"".join(self.index))
         rows_at = self.place
@@ -173,18 +171,17 @@ def write_ids(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = tokens.encoder(vocabulary, kind)
-        end = end_id.to_bytes(4, "little")
         writer = None
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                rows = batch.slice(at, 512)
+            for at in range(0, batch.num_rows, tokens.TEXTS):
+                rows = batch.slice(at, tokens.TEXTS)
                 if writer is None:
                     path = f"{folder}/ids-{uuid.uuid4().hex}"
                     opened(folder)[0].create_dir(opened(folder)[1], recursive=True)
                     writer = Writer(path, block=block, planes=planes)
-                texts = [t or "" for t in rows.column("text").to_pylist()]
-                for doc_id, ids in zip(rows.column("doc_id").to_pylist(), encode(texts), strict=True):
-                    writer.add(doc_id, ids + end)
+                ids, edges = encode(rows.column("text"), end_id)
+                counts = np.diff(edges).tolist()
+                writer.add(rows.column("doc_id").to_pylist(), counts, ids.astype("<u4").tobytes())
         if writer is not None:
             writer.close()
             yield pa.RecordBatch.from_pylist(
