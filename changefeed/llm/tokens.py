@@ -17,9 +17,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
-REMEMBERED = 1_200_000
+REMEMBERED = 700_000
 # Texts whose pieces are numbered together.
-TEXTS = 4_000
+TEXTS = 2_000
 # With two white spaces in a row, byte-level tokens may span a cut between them.
 DOUBLE = r"[\t-\r\x{85}\p{Z}]{2}"
 _LOADED: dict[tuple[str, str], Encoder] = {}
