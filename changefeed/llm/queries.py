@@ -100,6 +100,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _prepared(run: Query) -> Query:
     def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship(configure(spark))
+        # Rows of packed arrays are large; a batch for Python is bounded by bytes, too.
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(32 << 20))
         return run(spark, sf_dir)
 
     return prepared
