@@ -7,7 +7,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,20 +55,43 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-class WordHashes:
-    """64-bit hashes of words, remembered while the memory bound allows."""
-
-    def __init__(self, most: int = 300_000) -> None:
-        self.known: dict[bytes, int] = {}
-        self.most = most
-
-    def __call__(self, tokens: list[bytes]) -> np.ndarray:
-        known = self.known
-        if len(known) > self.most:
-            known.clear()
-        for word in set(tokens).difference(known):
-            known[word] = xxhash.xxh3_64_intdigest(word)
-        return np.fromiter(map(known.__getitem__, tokens), np.uint64, len(tokens))
+# Texts hashed in one go; one longer text goes alone.
+HASHED_BYTES = 1 << 20
+_BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
+_SPACE = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
+_OF_BYTE = np.random.default_rng(7).integers(1, 2**63, 256, dtype=np.uint64)
+_POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def _powers(size: int) -> list[np.ndarray]:
+    """Powers of the base and of its inverse."""
+    if len(_POWERS[0]) < size:
+        for i, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
+            steps = np.full(max(size, HASHED_BYTES + 1), base, np.uint64)
+            steps[0] = 1
+            _POWERS[i] = np.multiply.accumulate(steps)
+    return _POWERS
+
+
+def word_hashes(group: list[bytes]) -> Iterator[np.ndarray]:
+    """64-bit hashes of the words of each text: differences of running sums over its bytes."""
+    at = 0
+    while at < len(group):
+        end, size = at, 0
+        while end < len(group) and (end == at or size + len(group[end]) < HASHED_BYTES):
+            size += len(group[end]) + 1
+            end += 1
+        data = np.frombuffer(b"\n".join([b"", *group[at:end], b""]), np.uint8)
+        power, inverse = _powers(len(data))
+        sums = np.cumsum(_OF_BYTE[data] * power[: len(data)])
+        turn = np.flatnonzero(np.diff(_SPACE[data]))  # last byte before a word, last byte of it
+        before, last = turn[0::2], turn[1::2]
+        hashes = mixed((sums[last] - sums[before]) * inverse[before] + (last - before).astype(np.uint64))
+        ends = np.cumsum([len(t) + 1 for t in group[at:end]])
+        edges = np.concatenate([[0], np.searchsorted(before, ends)])
+        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+            yield hashes[a:b]
+        at = end
 
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)

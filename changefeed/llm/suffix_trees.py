@@ -31,7 +31,7 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from changefeed.llm.common import WordHashes, mixed, run_starts, texts, window_hashes
+from changefeed.llm.common import mixed, run_starts, texts, window_hashes, word_hashes
 
 WIDTH = 13
 ANCHOR = 5
@@ -48,6 +48,21 @@ def anchors(hashes: np.ndarray, width: int, anchor: int) -> tuple[np.ndarray, np
     return places + np.arange(len(places)), by_place
 
 
+def hashes_at(hashes: np.ndarray, places: np.ndarray, width: int) -> np.ndarray:
+    """A hash of the ``width`` values from each place on."""
+    total = np.zeros(len(places), np.uint64)
+    for k in range(width):
+        total = total * np.uint64(0x9E3779B97F4A7C15) + hashes[places + k]
+    return mixed(total)
+
+
+def _among(values: np.ndarray, some: np.ndarray) -> np.ndarray:
+    if not len(some):
+        return np.zeros(len(values), bool)
+    some = np.sort(some)
+    return some[np.minimum(np.searchsorted(some, values), len(some) - 1)] == values
+
+
 def _dealt(bucket: np.ndarray, buckets: int, *columns: np.ndarray) -> Iterator[pa.RecordBatch]:
     """One row per bucket with the bytes of its part of each column."""
     order = np.argsort(bucket, kind="stable")
@@ -65,11 +80,11 @@ def repeated_anchors(
     """``doc_id``, ``anchor`` and ``hot`` for anchors that more than one document has."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashed, found, owner = WordHashes(), [], []
+        found, owner = [], []
         for batch in batches:
             ids = batch.column("doc_id").to_pylist()
-            for doc_id, text in zip(ids, texts(batch.column("text")), strict=True):
-                places, by_place = anchors(hashed(text.split()), width, anchor)
+            for doc_id, words in zip(ids, word_hashes(texts(batch.column("text"))), strict=True):
+                places, by_place = anchors(words, width, anchor)
                 if len(places):
                     own = np.unique(by_place[places])
                     found.append(own)
@@ -130,35 +145,34 @@ def repeated_anchors(
     return sent.repartition(buckets, "bucket").mapInArrow(meet, "doc_id long, anchor long, hot boolean")
 
 
-RUNS = "key long, doc_id long, text_hash long, start int, windows int, run binary"
+# ``also`` are places of the same document with the same window.
+RUNS = "key long, doc_id long, text_hash long, start int, windows int, run binary, also binary"
 
 
 def _suffix_runs(width: int, anchor: int):
     """Runs of suffixes to be compared, and windows settled here (``run`` null)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashed = WordHashes()
         docs, hashes_of, bodies, lasts = [], [], [], 0
         window, anchored, place, at, hot = [], [], [], [], []
         ordinal, offset = [], []
         for batch in batches:
             columns = [batch.column(c) for c in ("doc_id", "text_hash", "anchors", "hot")]
-            for i, text in enumerate(texts(batch.column("text"))):
-                if not columns[2][i].is_valid:
-                    continue
+            some = [i for i in range(batch.num_rows) if columns[2][i].is_valid]
+            with_some = texts(batch.column("text").take(pa.array(some, pa.int64())))
+            for i, text, words in zip(some, with_some, word_hashes(with_some), strict=True):
                 found = columns[2][i].values.to_numpy(zero_copy_only=False).view(np.uint64)
-                words = hashed(text.split())
                 places, by_place = anchors(words, width, anchor)
                 if not len(places):
                     continue
                 of_window = by_place[places]
-                here = np.flatnonzero(np.isin(of_window, found))
+                here = np.flatnonzero(_among(of_window, found))
                 if not len(here):
                     continue
                 long = columns[3][i].values.to_numpy(zero_copy_only=False).view(np.uint64)
-                window.append(window_hashes(words, width)[here])
+                window.append(hashes_at(words, here, width))
                 anchored.append(of_window[here])
-                hot.append(np.isin(of_window[here], long))
+                hot.append(_among(of_window[here], long))
                 place.append(places[here])
                 at.append(here)
                 ordinal.append(np.full(len(here), len(docs)))
@@ -175,15 +189,24 @@ def _suffix_runs(width: int, anchor: int):
             np.concatenate, (window, anchored, place, at, hot, ordinal, offset)
         )
         ids = np.array([d for d, _ in docs], np.int64)[ordinal]
-        order = np.lexsort((ids, window))
+        order = np.lexsort((offset, ids, window))
         starts = run_starts(window[order])
         sizes = np.diff(np.append(starts, len(order)))
         lead = np.repeat(order[starts], sizes)  # the smallest document's occurrence
-        settled = ids[order] > ids[lead]
+        same = order != lead
         for k in range(width):  # equal hashes may still be different words
-            settled &= every[offset[order] + k] == every[offset[lead] + k]
+            same &= every[offset[order] + k] == every[offset[lead] + k]
         done = np.zeros(len(order), bool)
-        done[order] = settled
+        done[order] = same & (ids[order] > ids[lead])
+        # Further places of the window in its smallest document share the first one's fate.
+        repeats = same & (ordinal[order] == ordinal[lead])
+        shadow = np.zeros(len(order), bool)
+        shadow[order[repeats]] = True
+        also: dict[int, list[int]] = {}
+        for first, place_again in zip(lead[repeats].tolist(), at[order[repeats]].tolist(), strict=True):
+            also.setdefault(first, []).append(place_again)
+        alone = hot.copy()
+        alone[list(also)] = True
 
         def stretches(which: np.ndarray, apart: np.ndarray | None) -> Iterator[tuple[int, int]]:
             """First index and length of neighbours in the same document (and group)."""
@@ -191,7 +214,7 @@ def _suffix_runs(width: int, anchor: int):
                 return
             new = (np.diff(offset[which]) != 1) | (np.diff(ordinal[which]) != 0)
             if apart is not None:
-                new |= (np.diff(place[which]) != 0) | apart[which][1:]
+                new |= (np.diff(place[which]) != 0) | apart[which][1:] | apart[which][:-1]
             first = np.flatnonzero(np.r_[True, new])
             for a, n in zip(which[first].tolist(), np.diff(np.append(first, len(which))).tolist(), strict=True):
                 yield a, n
@@ -201,25 +224,26 @@ def _suffix_runs(width: int, anchor: int):
         def flushed() -> pa.RecordBatch:
             columns = list(zip(*out, strict=True))
             out.clear()
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
-            names = ["key", "doc_id", "text_hash", "start", "windows", "run"]
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
+            names = ["key", "doc_id", "text_hash", "start", "windows", "run", "also"]
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
-        spread = mixed(np.arange(len(docs), dtype=np.uint64)).view(np.int64)
+        spread = mixed(np.array([h for _, h in docs], np.int64).view(np.uint64)).view(np.int64)
         for a, n in stretches(np.flatnonzero(done), None):
             d = int(ordinal[a])
-            out.append((int(spread[d]), *docs[d], int(at[a]), n, None))
+            out.append((int(spread[d]), *docs[d], int(at[a]), n, None, None))
             if len(out) >= 10_000:
                 yield flushed()
         signed_anchor, signed_window = anchored.view(np.int64), window.view(np.int64)
         last, words = -1, []
-        for a, n in stretches(np.flatnonzero(~done), hot):
+        for a, n in stretches(np.flatnonzero(~done & ~shadow), alone):
             d = int(ordinal[a])
             if d != last:
                 last, words = d, bodies[d].split()
             start = int(at[a])
             key = int(signed_window[a]) if hot[a] else int(signed_anchor[a])
-            out.append((key, *docs[d], start, n, b" ".join(words[start : start + n + width - 1])))
+            again = np.array(also[a], np.int32).tobytes() if a in also else None
+            out.append((key, *docs[d], start, n, b" ".join(words[start : start + n + width - 1]), again))
             if len(out) >= 10_000:
                 yield flushed()
         if out:
@@ -234,11 +258,11 @@ MARKS = "doc_id long, text_hash long, start int, windows int"
 def subtree(runs: list[tuple], width: int) -> list[tuple[int, int, int]]:
     """Windows of a group's suffixes that have a smaller document below their node.
 
-    ``runs`` has (doc_id, text_hash, start, windows, text). Sorted suffixes of a node of
+    ``runs`` has (doc_id, text_hash, start, windows, text, also). Sorted suffixes of a node of
     depth ``width`` are neighbours; a suffix is cut to that depth.
     """
     suffixes = []
-    for number, (doc_id, _, _, windows, run) in enumerate(runs):
+    for number, (doc_id, _, _, windows, run, _) in enumerate(runs):
         words = run.split(b" ")
         if windows == 1:
             suffixes.append((run, doc_id, number, 0))
@@ -268,7 +292,9 @@ def _trees(width: int):
                 for number, k in subtree(group, width):
                     by_run.setdefault(number, []).append(k)
             for number, offsets in by_run.items():
-                doc_id, text_hash, start, _, _ = group[number]
+                doc_id, text_hash, start, _, _, also = group[number]
+                if also is not None:
+                    out.extend((doc_id, text_hash, k, 1) for k in np.frombuffer(also, np.int32).tolist())
                 offsets.sort()
                 first = previous = offsets[0]
                 for k in [*offsets[1:], None]:
@@ -286,9 +312,9 @@ def _trees(width: int):
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
         for batch in batches:
-            columns = (batch.column(i).to_pylist() for i in range(6))
+            columns = (batch.column(i).to_pylist() for i in range(7))
             for key, *row in zip(*columns, strict=True):
-                if row[-1] is None:
+                if row[4] is None:
                     out.append(tuple(row[:4]))
                     continue
                 if key != current:
