@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from changefeed.schemas import MAX_ERROR_TEXT
-
 REPLACEMENT = "�"
 
 
@@ -21,10 +19,6 @@ def decode_headers(raw: Column) -> Column:
     return F.transform_values(present, lambda _, value: F.make_valid_utf8(value.cast("string")))
 
 
-def error_text(message: Column) -> Column:
-    return F.substring(message, 1, MAX_ERROR_TEXT)
-
-
 def first_line(message: Column) -> Column:
     return F.substring_index(message, "\n", 1)
 

@@ -57,10 +57,18 @@ def examine(records: DataFrame, rules: RuleSet) -> DataFrame:
         ).alias("fingerprint"),
         is_event.alias("is_event"),
         F.array_contains(F.col("violations.severity"), "reject").alias("breaks_rule"),
-        F.coalesce(has_nul(F.col("payload")), F.lit(False)).alias("unstorable"),
+        _unstorable().alias("unstorable"),
     )
 
 
+def _unstorable() -> Column:
+    """Whether a stored text holds NUL: the payload as an escape, the others as they are."""
+    found = F.coalesce(has_nul(F.col("payload")), F.lit(False))
+    for name in ("entity_key", "entity_type", "source.system", "source.object"):
+        found = found | F.coalesce(F.contains(F.col(name), F.lit("\0")), F.lit(False))
+    return found
+
+
 def has_nul(payload_text: Column) -> Column:
     """Whether a JSON text holds an escaped NUL (and not an escaped backslash)."""
     plain = F.replace(payload_text, F.lit("\\\\"), F.lit(""))
@@ -86,37 +94,27 @@ def first_acceptable(examined: DataFrame) -> DataFrame:
     )
 
 
-def known_fingerprints(
-    events: DataFrame, event_log: DataFrame, *, few_events: bool = False
-) -> DataFrame:
-    """The ids of a batch that the log holds, with the logged fingerprint.
-
-    ``few_events`` says that the caller has counted the batch and its ids fit a
-    broadcast: then the log is scanned in place (two columns) and never shuffled.
-    """
+def known_fingerprints(events: DataFrame, event_log: DataFrame) -> DataFrame:
+    """The ids of a batch that the log holds, with the logged fingerprint."""
     wanted = events.select("event_id").where(F.col("event_id").isNotNull()).distinct()
     return event_log.select("event_id", "fingerprint").join(
-        F.broadcast(wanted) if few_events else wanted, "event_id", "left_semi"
+        wanted, "event_id", "left_semi"
     )
 
 
-def with_known(
-    firsts: DataFrame, event_log: DataFrame | None, *, few_events: bool = False
-) -> DataFrame:
+def with_known(firsts: DataFrame, event_log: DataFrame | None) -> DataFrame:
     """Add the fingerprint already in the log, one lookup per distinct id."""
     if event_log is None:
         return firsts.withColumn("known_fingerprint", F.lit(None).cast("string"))
-    known = known_fingerprints(firsts, event_log, few_events=few_events)
+    known = known_fingerprints(firsts, event_log)
     return firsts.join(
         known.withColumnRenamed("fingerprint", "known_fingerprint"), "event_id", "left"
     )
 
 
-def judge(
-    examined: DataFrame, event_log: DataFrame | None = None, *, few_events: bool = False
-) -> DataFrame:
+def judge(examined: DataFrame, event_log: DataFrame | None = None) -> DataFrame:
     """Add ``verdict`` and ``logged_fingerprint`` to every examined record."""
-    summary = with_known(first_acceptable(examined), event_log, few_events=few_events)
+    summary = with_known(first_acceptable(examined), event_log)
     # Ids recovered from the headers of unreadable records take no part.
     keyed = examined.withColumn("_id", F.when(F.col("is_event"), F.col("event_id")))
     rows = attach_summary(
@@ -147,14 +145,12 @@ def accepted(judged: DataFrame) -> DataFrame:
     return judged.where(F.col("verdict") == ACCEPTED)
 
 
-def versions_of(
-    events: DataFrame, state: DataFrame, *, few_events: bool = False
-) -> DataFrame:
+def versions_of(events: DataFrame, state: DataFrame) -> DataFrame:
     """The current version of the entities a batch touches."""
     keys = ["entity_type", "entity_key"]
     touched = events.select(*keys).distinct()
     return state.select(*keys, "entity_version").join(
-        F.broadcast(touched) if few_events else touched, keys, "left_semi"
+        touched, keys, "left_semi"
     )
 
 

@@ -16,7 +16,9 @@ from decimal import Decimal, InvalidOperation
 from pathlib import Path
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changefeed.functions import built_once
@@ -104,14 +106,42 @@ def _not_null(value: Value, _event: Event, _options: dict[str, Any]) -> Findings
     ]
 
 
+def _against(number: Column, bound: Decimal) -> Column:
+    """-1, 0 or 1 as a plain decimal text lies below, at or above the bound, of any
+    length; null for other texts."""
+    digits = format(abs(bound), "f")
+    whole, _, part = digits.partition(".")
+    bound_whole, bound_part = F.lit(whole.lstrip("0")), F.lit(part.rstrip("0"))
+    bound_sign = 0 if not bound else (-1 if bound < 0 else 1)
+    shape = r"^([+-]?)0*(\d*)\.?(\d*?)0*$"
+    # Without a point the zeros at the end belong to the whole part.
+    text_whole = F.when(
+        F.contains(number, F.lit(".")), F.regexp_extract(number, shape, 2)
+    ).otherwise(F.regexp_extract(number, r"^[+-]?0*(\d*)$", 1))
+    text_part = F.when(F.contains(number, F.lit(".")), F.regexp_extract(number, shape, 3)).otherwise("")
+    zero = (text_whole == "") & (text_part == "")
+    sign = F.when(zero, 0).when(number.startswith("-"), -1).otherwise(1)
+
+    def order(a: Column, b: Column) -> Column:
+        return F.when(a < b, -1).when(a > b, 1).otherwise(0)
+
+    by_length = order(F.length(text_whole), F.length(bound_whole))
+    by_whole, by_part = order(text_whole, bound_whole), order(text_part, bound_part)
+    size = F.when(by_length != 0, by_length).when(by_whole != 0, by_whole).otherwise(by_part)
+    found = F.when(sign != bound_sign, order(sign, F.lit(bound_sign))).otherwise(size * sign)
+    return F.when(number.rlike(r"^[+-]?(\d+(\.\d*)?|\.\d+)$"), found)
+
+
 def _bound(beyond: Callable[[Column, Column], Column], what: str) -> Check:
     def check(value: Value, _event: Event, options: dict[str, Any]) -> Findings:
         bound = Decimal(str(options["value"]))
         number = F.trim(value.text)
         exact = number.try_cast("decimal(38,18)")
         exact_bound = F.lit(format(bound, "f")).try_cast("decimal(38,18)")
-        # Decimals decide; the double covers what does not fit 38 digits.
+        # Digits decide; numbers with an exponent go through decimals, or doubles where
+        # 38 digits do not hold them.
         outside = F.coalesce(
+            beyond(_against(number, bound), F.lit(0)),
             F.when(exact != exact_bound, beyond(exact, exact_bound)),
             beyond(number.try_cast("double"), F.lit(float(bound))),
         )
@@ -201,10 +231,17 @@ def _value_list(options: dict[str, Any]) -> str | None:
 
 
 def _compiles(options: dict[str, Any]) -> str | None:
+    """The engine's own compiler decides where a session is there to ask."""
     try:
         re.compile(options["regex"])
     except (re.error, TypeError) as exc:
         return f"invalid regular expression: {exc}"
+    session = SparkSession.getActiveSession()
+    if session is not None:
+        try:
+            session._jvm.java.util.regex.Pattern.compile(options["regex"])
+        except (Py4JError, PySparkException) as exc:
+            return f"invalid regular expression: {str(exc).splitlines()[0]}"
     return None
 
 

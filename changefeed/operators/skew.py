@@ -5,42 +5,30 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# At most this many keys are treated as heavy, so their table always fits a
-# broadcast; any key outside it owns less than 1/1024 of the rows.
-HEAVY_KEYS = 1024
-# Fewer rows than this are no burden for one task.
+# A key with more rows than this has its rows dealt out.
 HEAVY_ROWS = 10_000
 
 
-def heavy_keys(summary: DataFrame, keys: list[str], weight: str) -> DataFrame:
-    """The keys that own the most rows, from a table with one row per key."""
-    return (
-        summary.where(F.col(weight) > HEAVY_ROWS)
-        .orderBy(F.col(weight).desc(), *keys)
-        .limit(HEAVY_KEYS)
-    )
-
-
 def attach_summary(
     rows: DataFrame, summary: DataFrame, *, key: str, weight: str, spread: Column
 ) -> DataFrame:
     """Left join ``rows`` to the one ``summary`` row of their text key.
 
-    The summaries of heavy keys are broadcast (at most ``HEAVY_KEYS`` rows), and
-    the rows of heavy keys, and those without a key, enter the shuffle join under
-    a key of their own made from ``spread``. So they are dealt out evenly, need no
-    match there, and no task receives all copies of one key.
+    Keys with more than ``HEAVY_ROWS`` rows are joined apart: there Spark broadcasts
+    their summaries if they are small, and else splits their partitions. Their rows, and
+    those without a key, enter the other join under a key of their own made from
+    ``spread``, so no task receives all copies of one key there.
     """
     values = [name for name in summary.columns if name not in (key, weight)]
     # Both sides below use every column and only non-null keys: then their plans
     # are equal, and Spark computes the summary once and reuses its shuffle.
     summary = summary.where(F.col(key).isNotNull())
     packed = F.struct(weight, *values)
-    heavy = heavy_keys(summary, [key], weight).select(F.col(key), packed.alias("_heavy"))
+    heavy = summary.where(F.col(weight) > HEAVY_ROWS).select(F.col(key), packed.alias("_heavy"))
     plain = summary.select(F.col(key).alias("_key"), packed.alias("_plain"))
     dealt = F.concat(F.lit("#"), spread.cast("string"))
     joined = (
-        rows.join(F.broadcast(heavy), key, "left")
+        rows.join(heavy, key, "left")
         .withColumn(
             "_key",
             F.when(F.col("_heavy").isNotNull() | F.col(key).isNull(), dealt).otherwise(F.col(key)),
@@ -59,18 +47,12 @@ def max_before(
     """``into`` = the largest ``value`` among the earlier rows of the same keys.
 
     A plain running window puts every row of a key into one task. Here the rows of
-    a heavy key are first cut into blocks of the order; ``block`` must grow with
+    every key are first cut into blocks of the order; ``block`` must grow with
     ``order`` and bound the rows of one block. Each block runs by itself and gets
     the maximum of the blocks before it, computed from one row per block.
     """
-    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    heavy = heavy_keys(sizes, keys, "_rows").select(*keys, F.lit(True).alias("_is_heavy"))
-    flagged = rows.join(F.broadcast(heavy), keys, "left").withColumn(
-        "_block", F.when(F.col("_is_heavy"), block).otherwise(F.lit(0).cast("bigint"))
-    )
-    per_block = (
-        flagged.where("_is_heavy").groupBy(*keys, "_block").agg(F.max(value).alias("_block_max"))
-    )
+    flagged = rows.withColumn("_block", block)
+    per_block = flagged.groupBy(*keys, "_block").agg(F.max(value).alias("_block_max"))
     earlier_blocks = Window.partitionBy(*keys).orderBy("_block").rowsBetween(
         Window.unboundedPreceding, -1
     )

@@ -14,20 +14,36 @@ from changefeed.session import stage
 from changefeed.sources.log import commit_offsets
 from changefeed.streaming.tables import Tables
 
-# Up to this many records the ids of an epoch (36 bytes each) are broadcast
-# against the log; beyond it both sides are shuffled.
-FEW_EVENTS = 1_000_000
 
+def resolve_epoch(
+    records: DataFrame,
+    tables: Tables,
+    rules: RuleSet,
+    epoch: int | None = None,
+    *,
+    batch: tuple[str, int] | None = None,
+    streams: dict[str, int] | None = None,
+) -> int:
+    """Judge ``records`` and write the next epoch; returns the records read.
 
-def resolve_epoch(records: DataFrame, tables: Tables, rules: RuleSet, epoch: int) -> int:
-    """Judge ``records`` and write epoch ``epoch``; returns the records read.
+    Epochs are numbered by the tables. ``batch`` is the stream and its batch number that
+    the records are; a batch that a commit names is skipped, whatever was committed since.
+    ``streams`` are batches that tables without commits take as known. A caller that
+    numbers epochs itself gives ``epoch``, and one that is committed is skipped.
 
     Every record is decoded once (the staged copy) and shuffled once (by event
     id); the accepted rows then are the event log, nothing copies them.
     """
     last = tables.last_commit()
+    known = {**(streams or {}), **last.streams}
+    if batch is not None:
+        if known.get(batch[0], -1) >= batch[1]:
+            return 0  # committed before a restart
+        known[batch[0]] = batch[1]
+    if epoch is None:
+        epoch = last.epoch + 1
     if epoch <= last.epoch:
-        return 0  # committed before a restart
+        return 0
     if epoch != last.epoch + 1:
         raise ValueError(f"epoch {epoch} cannot follow epoch {last.epoch}")
     examined = stage(
@@ -39,10 +55,9 @@ def resolve_epoch(records: DataFrame, tables: Tables, rules: RuleSet, epoch: int
         F.coalesce(F.max(F.col("first_seq") + F.col("span") - 1), F.lit(last.next_seq))
     ).first()
     count = examined.count()
-    few = count <= FEW_EVENTS
     first_epoch = last.epoch < 0
     judged = resolve.judge(
-        examined, None if first_epoch else tables.logged_fingerprints(epoch), few_events=few
+        examined, None if first_epoch else tables.logged_fingerprints(epoch)
     )
     numbered = positions.with_sequence(judged, spans)
     tables.write(_stored(numbered), "records", epoch, "verdict")
@@ -51,7 +66,7 @@ def resolve_epoch(records: DataFrame, tables: Tables, rules: RuleSet, epoch: int
     events = written.where(F.col("verdict") == ACCEPTED)
     versions = None if first_epoch else tables.current_versions(epoch)
     narrow = events.select("entity_type", "entity_key", "entity_version", "ord")
-    touched = None if versions is None else resolve.versions_of(narrow, versions, few_events=few)
+    touched = None if versions is None else resolve.versions_of(narrow, versions)
     decided = resolve.with_outcome(narrow, touched)
     best = resolve.best_versions(events, F.current_timestamp())
     rejected = written.where(~F.col("verdict").isin(ACCEPTED, DUPLICATE))
@@ -74,7 +89,7 @@ def resolve_epoch(records: DataFrame, tables: Tables, rules: RuleSet, epoch: int
         writes = [pool.submit(tables.write, df, name, epoch) for name, df in sinks.items()]
         for write in writes:
             write.result()
-    tables.commit(epoch, next_seq=totals[0], records=count)
+    tables.commit(epoch, next_seq=totals[0], records=count, streams=known)
     return count
 
 

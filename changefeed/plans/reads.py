@@ -12,7 +12,6 @@ from changefeed.functions.text import page_position, page_token
 from changefeed.functions.times import moment, seconds_between
 
 _ENTITY = ["entity_type", "entity_key"]
-LAG_SAMPLE = 1_000
 
 
 class InvalidPage(ValueError):
@@ -135,8 +134,8 @@ def entity_view(
 ) -> DataFrame:
     """Current state, newest events (oldest first) and newest rejections per entity.
 
-    The lists hold at most ``limit`` items each. Rejections carry an entity type
-    only where the record was readable; the others belong to every type of the key.
+    The lists hold at most ``limit`` items each. Rejections are listed by key alone,
+    under every type of the key; a key that has nothing else has no type.
     """
     events = entity_history(log, limit=limit).groupBy(*_ENTITY).agg(
         F.sort_array(
@@ -156,7 +155,17 @@ def entity_view(
         ).alias("quarantined")
     )
     current = state.select(*_ENTITY, "entity_version", "payload", "last_event_id")
-    return current.join(events, _ENTITY, "full_outer").join(rejections, "entity_key", "left")
+    return current.join(events, _ENTITY, "full_outer").join(
+        rejections, "entity_key", "full_outer"
+    )
+
+
+def entity_view_of(
+    state: DataFrame, log: DataFrame, quarantine: DataFrame, entity_key: str, *, limit: int
+) -> DataFrame:
+    """The view of one key, for each of its types; the key reaches the scans."""
+    mine = [df.where(F.col("entity_key") == entity_key) for df in (state, log, quarantine)]
+    return entity_view(*mine, limit=limit)
 
 
 def orphan_states(state: DataFrame, log: DataFrame) -> DataFrame:
@@ -214,15 +223,15 @@ def record_lag(log: DataFrame) -> DataFrame:
     return log.withColumn("lag_seconds", seconds_between(F.col("processed_at"), F.col("occurred_at")))
 
 
-def lag_stats(log: DataFrame, *, sample: int = LAG_SAMPLE) -> DataFrame:
-    """Lag of the newest events, from change to table and for its two legs."""
-    recent = log.orderBy(F.col("log_seq").desc()).limit(sample)
+def lag_stats(log: DataFrame) -> DataFrame:
+    """Lag of all events of a log (or of a time window of it), from change to table and
+    for its two legs."""
     legs = {
         "end_to_end": seconds_between(F.col("processed_at"), F.col("occurred_at")),
         "capture": seconds_between(F.col("captured_at"), F.col("occurred_at")),
         "delivery": seconds_between(F.col("processed_at"), F.col("captured_at")),
     }
-    measured = recent.select(*[lag.alias(name) for name, lag in legs.items()])
+    measured = log.select(*[lag.alias(name) for name, lag in legs.items()])
     figures = [F.count(F.lit(1)).alias("sample_size")]
     for name in legs:
         figures += [

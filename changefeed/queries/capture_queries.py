@@ -18,7 +18,7 @@ from changefeed.queries import query
 from changefeed.queries.sql import event_uuid
 from changefeed.schemas import EVENT_ID_NAMESPACE
 from changefeed.queries.tables import once
-from changefeed.session import spread, stage
+from changefeed.session import stage
 from changefeed.sources import changes, orders
 from changefeed.sources.orders import ORDERS_SPEC as SPEC
 
@@ -123,11 +123,10 @@ _FLAT = (
 @query(
     "seed_orders",
     f"WITH {_SOURCE} SELECT {_FLAT}, 1 AS row_version, "
-    "epoch_us(TIMESTAMP '2024-06-01 12:00:00') AS updated_at FROM source "
-    "ORDER BY o_orderkey LIMIT 20000",
+    "epoch_us(TIMESTAMP '2024-06-01 12:00:00') AS updated_at FROM source",
 )
 def seed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _flat(orders.seed_orders(spark, sf_dir, 20_000, moment(LOADED)))
+    return _flat(orders.seed_orders(spark, sf_dir, moment(LOADED)))
 
 
 @query(
@@ -175,7 +174,7 @@ _PAYLOAD = (
 @query("payload", f"WITH {_SOURCE} SELECT o_orderkey, {_PAYLOAD} AS payload FROM source")
 def payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Payload objects with their members in name order."""
-    rows = spread(_source(spark, sf_dir))
+    rows = _source(spark, sf_dir)
     text = rows.select("o_orderkey", payload_json(rows).alias("payload"))
     return text.select("o_orderkey", F.to_json(F.parse_json("payload")).alias("payload"))
 
@@ -223,7 +222,7 @@ _EVENT_ID = event_uuid("'parquet|orders|order|' || o_orderkey || '|' || row_vers
 def change_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     batch = F.concat(F.lit("batch|"), F.floor(F.col("o_orderkey") / 1000).cast("string"))
     events = to_events(
-        spread(_source(spark, sf_dir)),
+        _source(spark, sf_dir),
         SPEC,
         captured_at=moment(LOADED),
         batch_id=ids.uuid5(EVENT_ID_NAMESPACE, batch),

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from changefeed.functions.text import (
     decode_headers,
-    error_text,
     first_line,
     page_position,
     page_token,
@@ -191,13 +190,13 @@ def page_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "error_text",
-    "SELECT doc_id, substr(text, 1, 4000) AS error, split_part(text, chr(10), 1) AS first_line FROM documents",
+    "SELECT doc_id, text AS error, split_part(text, chr(10), 1) AS first_line FROM documents",
 )
 def error_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Errors as the ledger keeps them: at most 4,000 characters."""
+    """Errors as the ledger keeps them, and the line that is shown of them."""
     return table(spark, sf_dir, "documents").select(
         "doc_id",
-        error_text(F.col("text")).alias("error"),
+        F.col("text").alias("error"),
         first_line(F.col("text")).alias("first_line"),
     )
 

@@ -111,14 +111,14 @@ def _lag_sql() -> str:
     )
     columns = ", ".join(f"CAST({x} AS DOUBLE) AS {n}" for n, x in legs.items())
     return (
-        f"WITH {_LOG}, recent AS (SELECT {columns} FROM (SELECT * FROM log ORDER BY log_seq DESC LIMIT 1000)) "
+        f"WITH {_LOG}, recent AS (SELECT {columns} FROM log) "
         f"SELECT count(*) AS sample_size, {figures} FROM recent"
     )
 
 
 @query("lag_stats", _lag_sql())
 def lag_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reads.lag_stats(_log(spark, sf_dir), sample=1000)
+    return reads.lag_stats(_log(spark, sf_dir))
 
 
 @query(
@@ -248,9 +248,9 @@ hist AS (SELECT entity_type, entity_key, string_agg(CAST(version AS VARCHAR), ',
 qr AS (SELECT *, row_number() OVER (PARTITION BY entity_key ORDER BY quarantine_seq DESC) AS n FROM quarantined),
 rej AS (SELECT entity_key, string_agg(reason, ',' ORDER BY quarantine_seq DESC) AS quarantined
         FROM qr WHERE n <= 2 GROUP BY entity_key)
-SELECT hist.entity_type, hist.entity_key, s.version AS current_version, history, history_truncated, quarantined
+SELECT hist.entity_type, coalesce(hist.entity_key, rej.entity_key) AS entity_key, s.version AS current_version, history, history_truncated, quarantined
 FROM hist JOIN state s ON s.entity_type = hist.entity_type AND s.entity_key = hist.entity_key
-LEFT JOIN rej ON rej.entity_key = hist.entity_key"""
+FULL OUTER JOIN rej ON rej.entity_key = hist.entity_key"""
     ),
 )
 def entity_view(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,7 +26,6 @@ ENVELOPE_FIELDS = (
 )
 SOURCE_FIELDS = ("system", "object")
 MAX_ENTITY_KEY = 512
-MAX_ERROR_TEXT = 4000
 
 # Verdicts, outcomes and quarantine reasons.
 ACCEPTED = "accepted"
@@ -141,7 +140,13 @@ QUARANTINE = {
 
 OUTCOMES = {"outcome": "string", "records": "bigint"}
 OFFSETS = {"topic": "string", "partition": "int", "committed_offset": "bigint"}
-COMMIT = {"next_seq": "bigint", "records": "bigint", "committed_at": "timestamp"}
+COMMIT = {
+    "next_seq": "bigint",
+    "records": "bigint",
+    "committed_at": "timestamp",
+    # The last batch taken from each stream.
+    "streams": "map<string,bigint>",
+}
 
 # One row per capture batch, written before its events are published ...
 BATCHES = {
@@ -177,4 +182,4 @@ CYCLES = {
 RUNNING = "running"
 COMMITTED = "committed"
 FAILED = "failed"
-INTERRUPTED = "interrupted: adapter stopped before the batch committed"
+INTERRUPTED = "the run ended before this cycle was committed"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -26,6 +27,7 @@ PREFERRED = {
 }
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+_LOCAL: dict[str, str] = {}
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -59,11 +61,13 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get(CHECKPOINT_DIR, None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder all executors share")
-    fallback = tempfile.mkdtemp(prefix="changefeed-")
-    spark.conf.set(CHECKPOINT_DIR, fallback)
-    return fallback
+    # One process, so its own folder is one that all executors share.
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL:
+        _LOCAL[application] = tempfile.mkdtemp(prefix="changefeed-")
+    return _LOCAL[application]
 
 
 def stage(df: DataFrame, name: str, *, path: str | None = None) -> DataFrame:
@@ -77,12 +81,3 @@ def stage(df: DataFrame, name: str, *, path: str | None = None) -> DataFrame:
     target = path or f"{shared_dir(spark)}/changefeed/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(target)
     return spark.read.schema(df.schema).parquet(target)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Deal rows out over the cores where a small input came as few splits.
-
-    A table of many files has more splits than cores and is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

@@ -75,12 +75,10 @@ def order_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def seed_orders(spark: SparkSession, sf_dir: str, row_count: int, loaded_at: Column) -> DataFrame:
-    """The first rows by key, all version 1 and stamped with the load time."""
+def seed_orders(spark: SparkSession, sf_dir: str, loaded_at: Column) -> DataFrame:
+    """All rows, each version 1 and stamped with the load time."""
     return (
         order_rows(spark, sf_dir)
-        .orderBy("o_orderkey")
-        .limit(row_count)
         .withColumn("row_version", F.lit(1).cast("bigint"))
         .withColumn("updated_at", loaded_at)
     )

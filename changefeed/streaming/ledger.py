@@ -8,7 +8,6 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changefeed.functions.text import error_text
 from changefeed.functions.times import from_micros, moment
 from changefeed.schemas import (
     BATCHES,
@@ -151,14 +150,20 @@ class Ledger:
                 ],
                 F.lit(False).alias("caught_up"),
                 F.current_timestamp().alias("finished_at"),
-                error_text(F.lit(error)).alias("error"),
+                F.lit(error).alias("error"),
             ),
         )
 
     def recover_interrupted(self, source_id: str) -> int:
-        """Close the cycles a crash left running; their events may be published
-        but the watermark never moved."""
-        open_cycles = self._numbers("batches") - self._numbers("cycles")
+        """Close the cycles of this source that a crash left running; their events may
+        be published but the watermark never moved. Other sources may be running."""
+        unfinished = self._numbers("batches") - self._numbers("cycles")
+        if not unfinished:
+            return 0
+        own = self._read("batches", BATCHES).where(
+            F.col("cycle").isin(*unfinished) & (F.col("source_id") == source_id)
+        )
+        open_cycles = {row["cycle"] for row in own.select("cycle").distinct().collect()}
         for cycle in sorted(open_cycles):
             self.fail(cycle, source_id, INTERRUPTED)
         return len(open_cycles)

@@ -32,6 +32,7 @@ _ENTITY = ["entity_type", "entity_key"]
 class LastCommit:
     epoch: int
     next_seq: int
+    streams: dict[str, int]
 
 
 class Tables:
@@ -59,11 +60,16 @@ class Tables:
             writer = writer.partitionBy(*partitions)
         writer.parquet(self.path(table, epoch))
 
-    def commit(self, epoch: int, *, next_seq: int, records: int) -> None:
+    def commit(
+        self, epoch: int, *, next_seq: int, records: int, streams: dict[str, int] | None = None
+    ) -> None:
+        """``streams`` has the last batch taken from each stream, over all epochs so far."""
+        pairs = [F.lit(x) for pair in (streams or {}).items() for x in pair]
         row = self.spark.range(1).select(
             F.lit(next_seq).cast("bigint").alias("next_seq"),
             F.lit(records).cast("bigint").alias("records"),
             F.current_timestamp().alias("committed_at"),
+            F.create_map(*pairs).cast("map<string,bigint>").alias("streams"),
         )
         # Fails if another writer committed this epoch.
         row.coalesce(1).write.mode("error").parquet(self.path("commits", epoch))
@@ -72,10 +78,10 @@ class Tables:
         """Epochs are committed one after the other, so the newest covers all."""
         done = numbered_folders(self.spark, self.path("commits"), "epoch")
         if not done:
-            return LastCommit(-1, 0)
+            return LastCommit(-1, 0, {})
         newest = max(done)
         row = self.spark.read.schema(ddl(COMMIT)).parquet(self.path("commits", newest)).first()
-        return LastCommit(newest, row["next_seq"])
+        return LastCommit(newest, row["next_seq"], dict(row["streams"] or {}))
 
     def commits(self) -> DataFrame:
         return self._read("commits", COMMIT, None)

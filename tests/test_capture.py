@@ -107,7 +107,7 @@ def test_a_crash_leaves_running_batches_that_the_next_start_closes(spark, tmp_pa
     make(spark, tmp_path).run_cycle(source(spark, BULK), as_of=T0)
     rows = capture.ledger.batches().orderBy("cycle", "batch_no").collect()
     assert [r["status"] for r in rows] == ["failed"] * 3 + ["committed"] * 3
-    assert "interrupted" in rows[0]["error"]
+    assert "ended before" in rows[0]["error"]
     with pytest.raises(LedgerError):
         capture.ledger.commit(1, SPEC.source_id, cursor=Cursor(T0, 1), rows=1, batches=1,
                               last_batch_id="x", caught_up=True)
@@ -150,10 +150,6 @@ def test_contract_and_order_violations_stop_the_cycle(spark, tmp_path):
 
 
 def test_cursor_rules():
-    assert Cursor(T0, "ORD-42").is_after(Cursor(T0, "ORD-41"))
-    assert not Cursor(T0, 1).is_after(Cursor(T0, 1))
-    with pytest.raises(changes.CursorRegression):
-        Cursor(T0, 1).is_after(Cursor(T0, "1"))
     with pytest.raises(TypeError):
         Cursor(T0, True)
     with pytest.raises(ValueError):
@@ -238,5 +234,28 @@ def test_end_to_end_numbers(spark, tmp_path):
     assert generations.current().root != tables.root
 
 
+@pytest.mark.parametrize("rebuild", [False, True])
+def test_stream_goes_on_after_a_replay(spark, tmp_path, rebuild):
+    capture = make(spark, tmp_path, batch_size=4)
+    rules, generations = load_rules(), Generations(spark, str(tmp_path / "sink"))
+
+    def consume():
+        log = stream_log(spark, f"{capture.log_path}/*", files_per_batch=1)
+        checkpoint = str(tmp_path / "checkpoint")
+        materialize_stream(log, generations.current(), rules, checkpoint=checkpoint).awaitTermination()
+        return generations.current().event_log().count()
+
+    rows = [(key, 1, T0) for key in range(1, 4)]
+    capture.run_cycle(source(spark, rows), as_of=T0)
+    assert consume() == 3
+    assert replay(capture.log(), generations, rules, rebuild=rebuild).converged
+    later = T0 + timedelta(hours=1)
+    rows += [(key, 1, later) for key in range(4, 9)]
+    capture.run_cycle(source(spark, rows), as_of=later)
+    assert consume() == 8
+    assert generations.current().current_state().count() == 8
+    assert consume() == 8
+
+
 def test_batch_numbers():
     assert capture_plan.BATCH_SIZE == 2_000

@@ -22,7 +22,7 @@ def con():
 
 
 @pytest.mark.skipif(not SF_DIR.exists(), reason="the test tables are absent")
-@pytest.mark.parametrize("name", list(spark_entry.queries()))
+@pytest.mark.parametrize("name", list(spark_entry.oracle_sql()))
 def test_query_equals_its_sql(spark, con, name):
     df = spark_entry.queries()[name](spark, str(SF_DIR))
     found = multiset([tuple(row) for row in df.collect()], df.columns)
