@@ -158,6 +158,15 @@ def owners(documents: DataFrame, *, keep: str = "min", trie_bytes: int = TRIE_BY
     return parts.groupBy("digest").agg(best.alias("owner"), F.sum("rows").alias("rows"))
 
 
+def _owned(documents: DataFrame, keep: str, trie_bytes: int) -> DataFrame:
+    """The documents with the digest, owner and number of rows of their text."""
+    found = owners(documents, keep=keep, trie_bytes=trie_bytes).select(
+        F.col("digest").alias("__digest"), F.col("owner").alias("__owner"), F.col("rows").alias("__rows")
+    )
+    keyed = documents.withColumn("__digest", F.sha2(normalised(F.col("text")).cast("binary"), 256))
+    return keyed.join(found, "__digest")
+
+
 def judged(documents: DataFrame, *, keep: str = "min", trie_bytes: int = TRIE_BYTES) -> DataFrame:
     """All columns of the documents with ``keep_id``, ``group_size``, ``kept``, ``text_sha256``.
 
@@ -166,13 +175,8 @@ def judged(documents: DataFrame, *, keep: str = "min", trie_bytes: int = TRIE_BY
     repeat the owning ``doc_id`` all stay. No rows give no rows. Columns of the input
     with these four names are replaced.
     """
-    found = owners(documents, keep=keep, trie_bytes=trie_bytes).select(
-        F.col("digest").alias("__digest"), F.col("owner").alias("__owner"), F.col("rows").alias("__rows")
-    )
-    ours = ("keep_id", "group_size", "kept", "text_sha256", "__digest")
-    rest = documents.drop(*ours)
-    keyed = rest.withColumn("__digest", F.sha2(normalised(F.col("text")).cast("binary"), 256))
-    return keyed.join(found, "__digest").select(
+    rest = documents.drop("keep_id", "group_size", "kept", "text_sha256")
+    return _owned(rest, keep, trie_bytes).select(
         *rest.columns,
         F.col("__owner").alias("keep_id"),
         F.col("__rows").alias("group_size"),
@@ -187,4 +191,6 @@ def without_copies(documents: DataFrame, *, keep: str = "max") -> DataFrame:
     Rows that repeat the owning id have equal texts and are kept once.
     """
     columns = documents.columns
-    return judged(documents, keep=keep).where("kept").dropDuplicates(["text_sha256"]).select(*columns)
+    mine = F.col("doc_id").cast("long").eqNullSafe(F.col("__owner"))
+    # The join has put equal digests into one partition already.
+    return _owned(documents, keep, TRIE_BYTES).where(mine).dropDuplicates(["__digest"]).select(*columns)
