@@ -66,7 +66,7 @@ class Writer:
         store, where = opened(path)
         self.out = store.open_output_stream(where)
         self.block, self.planes = block, planes
-        self.packer = zstandard.ZstdCompressor(level=3)
+        self.packer = zstandard.ZstdCompressor(level=1)
         self.index: list[bytes] = []
         self.doc_ids: list[int | None] = []
         self.counts: list[int] = []

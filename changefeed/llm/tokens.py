@@ -9,6 +9,7 @@ is remembered is bounded. Texts in which such a cut could matter are encoded who
 
 from __future__ import annotations
 
+import gc
 import string
 
 import numpy as np
@@ -17,7 +18,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
-REMEMBERED = 700_000
+REMEMBERED = 900_000
 # Texts whose pieces are numbered together.
 TEXTS = 2_000
 # With two white spaces in a row, byte-level tokens may span a cut between them.
@@ -132,7 +133,11 @@ class Encoder:
     def __call__(self, texts: pa.Array, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and where each text's begin and end; a null text is empty."""
         texts = pc.fill_null(texts.cast(pa.string()), "")
+        collecting = gc.isenabled()
+        gc.disable()  # millions of strings, none in a cycle
         found = [self._some(texts.slice(at, TEXTS), end_id) for at in range(0, len(texts), TEXTS)]
+        if collecting:
+            gc.enable()
         ids = np.concatenate([i for i, _ in found] or [np.zeros(0, np.uint32)])
         edges = np.concatenate([[0], np.cumsum(np.concatenate([n for _, n in found] or [np.zeros(0, np.int64)]))])
         return ids, edges
