@@ -123,4 +123,13 @@ QUERIES: dict[str, Query] = {
         "pipeline": pipeline,
     }.items()
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op7_exact_dedup": """
+WITH t AS (
+  SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                  'abcdefghijklmnopqrstuvwxyz')) AS h FROM documents)
+SELECT doc_id, max(doc_id) OVER (PARTITION BY h) AS keep_id,
+       count(*) OVER (PARTITION BY h) AS group_size,
+       doc_id = max(doc_id) OVER (PARTITION BY h) AS kept, h AS text_sha256
+FROM t""",
+}
