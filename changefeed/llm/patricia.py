@@ -190,7 +190,20 @@ def without_copies(documents: DataFrame, *, keep: str = "max") -> DataFrame:
 
     Rows that repeat the owning id have equal texts and are kept once.
     """
-    columns = documents.columns
-    mine = F.col("doc_id").cast("long").eqNullSafe(F.col("__owner"))
-    # The join has put equal digests into one partition already.
-    return _owned(documents, keep, TRIE_BYTES).where(mine).dropDuplicates(["__digest"]).select(*columns)
+
+    def keys(doc_id: str, digest: Column) -> dict[str, Column]:
+        number = F.col(doc_id).cast("long")
+        return {
+            "__number": F.coalesce(number, F.lit(0).cast("long")),
+            "__unnumbered": number.isNull(),
+            # Never null, so that the join does not compute it once more to check.
+            "__digest": F.coalesce(digest, F.lit("")),
+        }
+
+    mine = keys("owner", F.col("digest"))
+    found = owners(documents, keep=keep).select(*[c.alias(name) for name, c in mine.items()])
+    by = list(mine)
+    digest = F.sha2(normalised(F.col("text")).cast("binary"), 256)
+    keyed = documents.withColumns(keys("doc_id", digest))
+    # Joined by the very columns that drop repeated rows, so the texts move once here.
+    return keyed.join(found, by, "left_semi").dropDuplicates(by).select(*documents.columns)
