@@ -16,13 +16,14 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from pyspark.sql import SparkSession  # noqa: E402
+from pyspark.sql import SparkSession
+from pyspark.sql import functions as F  # noqa: E402
 
 from changefeed.operators.rules import load_rules  # noqa: E402
 from changefeed.plans import reads  # noqa: E402
 from changefeed.plans.capture import Capture  # noqa: E402
 from changefeed.plans.materialize import resolve_epoch  # noqa: E402
-from changefeed.plans.replay import replay  # noqa: E402
+from changefeed.plans.replay import converged, replay  # noqa: E402
 from changefeed.queries import QUERIES, load_all  # noqa: E402
 from changefeed.session import local_session, shared_dir, stage  # noqa: E402
 from changefeed.sources.feed import change_log  # noqa: E402
@@ -83,7 +84,14 @@ def main() -> None:
     timed("capture_cycle", capture)
     timed("resolve_new", lambda: resolve_epoch(log, generations.current(), rules, 0))
     timed("resolve_redelivered", lambda: resolve_epoch(log, generations.current(), rules, 1))
-    timed("rebuild", lambda: replay(log, generations, rules, rebuild=True).records_replayed)
+
+    def rebuild() -> int:
+        if not converged(replay(log, generations, rules, rebuild=True)):
+            raise RuntimeError("the rebuilt tables differ")
+        tables = generations.current()
+        return tables.epoch_outcomes(tables.last_commit().epoch).agg(F.sum("records")).first()[0]
+
+    timed("rebuild", rebuild)
     tables = generations.current()
 
     def noop(df: object) -> None:

@@ -129,7 +129,7 @@ class Capture:
         )
         total = self._check_contract(staged)
         if changes.order_violations(staged, spec, state.cursor).limit(1).count():
-            raise changes.CursorRegression("rows share a position or precede the watermark")
+            raise changes.ContractError("two rows share one (updated_at, key), or one is not new")
         ranked = positions.with_rank(staged, "_rank")
         ranked = ranked.withColumn("_batch", batch_number(F.col("_rank"), self.batch_size))
         rows = total
@@ -157,7 +157,7 @@ class Capture:
         caught_up = rows == total
         self._end(
             cycle,
-            changes.Cursor(from_micros(last["at"]), key),
+            changes.Position(from_micros(last["at"]), key),
             rows,
             last["batch_no"] + 1,
             last["batch_id"],
@@ -177,7 +177,7 @@ class Capture:
     def _end(
         self,
         cycle: int,
-        cursor: changes.Cursor | None,
+        cursor: changes.Position | None,
         rows: int,
         batches: int,
         last_batch_id: str | None,
@@ -249,7 +249,7 @@ class Capture:
         )
         cursor = state.cursor
         name = F.concat(F.lit(f"batch|{spec.source_id}|{cycle}|"), F.col("batch_no").cast("string"))
-        first_at = F.lit(None).cast("timestamp") if cursor is None else moment(cursor.updated_at)
+        first_at = F.lit(None).cast("timestamp") if cursor is None else moment(cursor.at)
         first_key = F.lit(None if cursor is None else str(cursor.key)).cast("string")
         whole = counts.join(last, "batch_no").join(first, "batch_no").join(start, "batch_no", "left")
         return whole.select(

@@ -23,7 +23,7 @@ from changefeed.sources import changes, orders
 from changefeed.sources.orders import ORDERS_SPEC as SPEC
 
 # The cursor lies inside a tie: several orders share the date.
-CURSOR = changes.Cursor(datetime(1996, 5, 28, tzinfo=UTC), 7000)
+CURSOR = changes.Position(datetime(1996, 5, 28, tzinfo=UTC), 7000)
 BOUND = datetime(1999, 1, 1, tzinfo=UTC)
 LOADED = datetime(2024, 6, 1, 12, tzinfo=UTC)
 SETTLE = 86_400

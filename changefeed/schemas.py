@@ -182,4 +182,4 @@ CYCLES = {
 RUNNING = "running"
 COMMITTED = "committed"
 FAILED = "failed"
-INTERRUPTED = "the run ended before this cycle was committed"
+INTERRUPTED = "found without an end when a later run began"

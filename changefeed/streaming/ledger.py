@@ -18,7 +18,7 @@ from changefeed.schemas import (
     RUNNING,
     ddl,
 )
-from changefeed.sources.changes import Cursor
+from changefeed.sources.changes import Position
 from changefeed.streaming.tables import numbered_folders, path_exists
 
 
@@ -29,7 +29,7 @@ class LedgerError(RuntimeError):
 @dataclass(frozen=True)
 class SyncState:
     source_id: str
-    cursor: Cursor | None
+    cursor: Position | None
     initial_sync_completed_at: datetime | None
     last_batch_id: str | None
 
@@ -94,7 +94,7 @@ class Ledger:
         if moved["cursor_key"] is None:
             raise LedgerError(f"cycle {moved['cycle']} holds half a cursor")
         key = int(moved["cursor_key"]) if integer_key else moved["cursor_key"]
-        cursor = Cursor(from_micros(moved["at"]), key)
+        cursor = Position(from_micros(moved["at"]), key)
         return SyncState(source_id, cursor, done, moved["last_batch_id"])
 
     def begin(self, batches: DataFrame, cycle: int) -> DataFrame:
@@ -114,7 +114,7 @@ class Ledger:
         cycle: int,
         source_id: str,
         *,
-        cursor: Cursor | None,
+        cursor: Position | None,
         rows: int,
         batches: int,
         last_batch_id: str | None,
@@ -127,7 +127,7 @@ class Ledger:
             self.spark.range(1).select(
                 F.lit(source_id).alias("source_id"),
                 F.lit(COMMITTED).alias("status"),
-                (F.lit(None) if cursor is None else moment(cursor.updated_at)).alias("cursor_at"),
+                (F.lit(None) if cursor is None else moment(cursor.at)).alias("cursor_at"),
                 F.lit(None if cursor is None else str(cursor.key)).alias("cursor_key"),
                 F.lit(rows).alias("rows"),
                 F.lit(batches).alias("batches"),
