@@ -3,11 +3,12 @@
 A source's target over its size is the number of copies each of its documents should have
 on average, a whole part that all get and a fraction. Rounding works on the fractions: two
 documents are paired and words (fraction times size) move from one to the other until one
-fraction is 0 or 1; the other goes on. The direction is random: a document is filled with
-the probability of its fraction, else emptied, so its expected number of copies stays. The
-words a source takes stay at its target all the time. It is a reduction tree: blocks of a source's documents are reduced first, each leaves at most
-one fractional document, and these are reduced again, block of blocks by block, until one is
-left for each source, which is rounded to the nearer side.
+fraction is 0 or 1; the other goes on. The direction is drawn for each pair, with chances in
+inverse proportion to the two possible transfers, so the expected number of copies of both
+stays. The words a source takes stay at its target all the time. It is a reduction tree:
+blocks of a source's documents are reduced first, each leaves at most one fractional
+document, and these are reduced again, block of blocks by block, until one is left for each
+source, which is taken with the probability of its fraction.
 
 All draws are hashes of the documents' ids, so a repeated or lost task gives the same rows.
 """
@@ -66,28 +67,20 @@ def draw(*parts: object) -> float:
 def reduce_pairs(ids: list, sizes: list[int], x: list[float], level: int) -> list[float]:
     """The fractions after pairwise transfers: 0 or 1 for all but at most one.
 
-    Documents come by falling size. The open one is paired with the next until it is
-    whole, in the direction drawn for it, so what stays open at the end is small.
+    Documents come by falling size; the open one is paired with the next until it is whole.
     """
     x = list(x)
-    open_one, up = -1, False
-
-    def opened(k: int) -> int:
-        nonlocal up
-        up = draw(level, ids[k], sizes[k]) < x[k]
-        return k
-
+    open_one = -1
     for j in sorted(range(len(x)), key=lambda k: (-sizes[k], str(ids[k]))):
         if not 0.0 < x[j] < 1.0:
             continue
         if open_one < 0:
-            open_one = opened(j)
+            open_one = j
             continue
         i = open_one
-        if up:
-            moved = min((1 - x[i]) * sizes[i], x[j] * sizes[j])
-        else:
-            moved = -min(x[i] * sizes[i], (1 - x[j]) * sizes[j])
+        up = min((1 - x[i]) * sizes[i], x[j] * sizes[j])
+        down = min(x[i] * sizes[i], (1 - x[j]) * sizes[j])
+        moved = up if draw(level, ids[i], sizes[i], ids[j], sizes[j]) * (up + down) < down else -down
         x[i], x[j] = x[i] + moved / sizes[i], x[j] - moved / sizes[j]
         for k in (i, j):
             if x[k] < 1e-9:
@@ -95,7 +88,7 @@ def reduce_pairs(ids: list, sizes: list[int], x: list[float], level: int) -> lis
             elif x[k] > 1 - 1e-9:
                 x[k] = 1.0
         if not 0.0 < x[i] < 1.0:
-            open_one = opened(j) if 0.0 < x[j] < 1.0 else -1
+            open_one = j if 0.0 < x[j] < 1.0 else -1
     return x
 
 
@@ -174,7 +167,8 @@ def _mixed(
         left = written(left.groupBy("source", "__block").applyInArrow(_reducer(level), left.schema), f"mix-{level}")
         done.append(left.where(~is_open))
         left = left.where(is_open)
-    done.append(left.withColumn("__x", F.round("__x")))
+    last = F.pmod(F.xxhash64(F.lit(SEED), "__id", "__size"), F.lit(1 << 53)) / F.lit(float(1 << 53))
+    done.append(left.withColumn("__x", F.when(last < F.col("__x"), 1.0).otherwise(0.0)))
     everything = done[0]
     for part in done[1:]:
         everything = everything.unionByName(part)
