@@ -8,8 +8,11 @@ root of the divergence in bits, 0 to 1) to the nearest reference. It is rejected
 long enough for its histogram to mean something and a distance passes the bound. The bound
 for words falls with the length: a short text is far from any reference by chance.
 
-References are taken for languages with at least one document in a hundred, so there are at
-most 101 of them, and they go into the plan as literals.
+The references of languages with at least one document in a hundred are at most 101 with
+that of all documents, and go into the plan as literals. A document of a rarer language is
+compared with these and with its own language's reference, which is joined by language: no
+such key has more than a hundredth of the rows. If that reference is of too few documents to
+mean something, the distances do not reject.
 """
 
 from __future__ import annotations
@@ -41,6 +44,8 @@ MAX_REPEATED_PERCENT = 30
 # Documents shorter than these are not judged by the distance in question.
 MIN_CHARS_JUDGED = 200
 MIN_WORDS_JUDGED = 60
+# Documents of a rare language that make a reference.
+MIN_REFERENCE_DOCS = 30
 MAX_CHAR_DISTANCE = 0.29
 # The bound for words is the first plus the second divided by the number of words.
 MAX_WORD_DISTANCE = (0.25, 4.5)
@@ -131,30 +136,46 @@ def _shares(counts: Column) -> Column:
     return F.transform(counts, lambda c: F.when(total > 0, c / total).otherwise(F.lit(0.0)))
 
 
-def js_distance(p: Column, q: Sequence[float]) -> Column:
-    """Jensen-Shannon distance of an array of shares to fixed shares."""
+def js_distance(p: Column, q: Sequence[float] | Column) -> Column:
+    """Jensen-Shannon distance of an array of shares to fixed shares or those of a column."""
 
     def part(a: Column, b: Column) -> Column:
         return F.when(a > 0, a * F.log2(2 * a / (a + b))).otherwise(F.lit(0.0))
 
-    terms = F.zip_with(p, F.array(*map(F.lit, q)), lambda a, b: part(a, b) + part(b, a))
+    other = q if isinstance(q, Column) else F.array(*map(F.lit, q))
+    terms = F.zip_with(p, other, lambda a, b: part(a, b) + part(b, a))
     return F.sqrt(F.greatest(F.lit(0.0), F.aggregate(terms, F.lit(0.0), lambda x, y: x + y) / 2))
 
 
-def references(counts: DataFrame, *, common: Sequence[str] = tuple(COMMON_WORDS)) -> list[tuple]:
-    """Shares of classes and of common words: of all documents, and of each frequent language."""
+def references(
+    counts: DataFrame, *, common: Sequence[str] = tuple(COMMON_WORDS)
+) -> tuple[list[tuple], list[str | None], DataFrame | None]:
+    """Shares of classes and of common words of all documents and of each frequent language; if
+    there are rare languages, the names of the frequent ones and a table of the rare ones' shares."""
     sums = [F.sum(F.col("classes")[i]) for i in range(7)]
     sums += [F.sum(F.col("common")[i]) for i in range(len(common) + 1)]
     named = [c.alias(f"s{i}") for i, c in enumerate(sums)]
-    everything = counts.agg(F.count(F.lit(1)).alias("docs"), *named).first()
-    by_lang = counts.groupBy("lang").agg(F.count(F.lit(1)).alias("docs"), *named).drop("lang")
-    rows = [everything, *by_lang.where(F.col("docs") * 100 >= everything["docs"]).collect()]
+    by_lang = written(counts.groupBy("lang").agg(F.count(F.lit(1)).alias("docs"), *named), "quality-languages")
+    columns = [F.sum(c).alias(c) for c in by_lang.columns if c != "lang"]
+    everything = by_lang.agg(*columns).first()
+    total = everything["docs"] or 0
+    frequent = by_lang.where(F.col("docs") * 100 >= total).collect()
 
     def shares(values: Sequence[int | None]) -> list[float]:
         total = sum(v or 0 for v in values)
         return [(v or 0) / total if total else 0.0 for v in values]
 
-    return sorted({(tuple(shares(row[1:8])), tuple(shares(row[8:]))) for row in rows})
+    rows = [everything, *(row[1:] for row in frequent)]
+    found = sorted({(tuple(shares(row[1:8])), tuple(shares(row[8:]))) for row in rows})
+    if sum(row["docs"] for row in frequent) == total:
+        return found, [], None
+    rare = by_lang.where(F.col("docs") * 100 < total).select(
+        F.col("lang").alias("__lang"),
+        F.col("docs").alias("__docs"),
+        _shares(F.array(*(F.col(f"s{i}") for i in range(7)))).alias("own_shares"),
+        _shares(F.array(*(F.col(f"s{i}") for i in range(7, len(sums))))).alias("own_word_shares"),
+    )
+    return found, [row["lang"] for row in frequent], rare
 
 
 def judge(
@@ -174,7 +195,7 @@ def judge(
     """
     counts = features(documents.drop(*RESULTS, "classes", "common"))
     counts = written(counts if with_text else counts.drop("text"), "quality-counts")
-    found = references(counts)
+    found, frequent, rare = references(counts)
     distances = counts.withColumn("shares", _shares(F.col("classes"))).withColumn(
         "word_shares", _shares(F.col("common"))
     )
@@ -183,6 +204,26 @@ def judge(
         each = [js_distance(F.col(name), reference[which]) for reference in found]
         return F.array_min(F.array(*each))
 
+    distances = distances.withColumn("char_distance", nearest("shares", 0)).withColumn(
+        "word_distance", nearest("word_shares", 1)
+    )
+    enough = F.lit(True)
+    if rare is not None:
+        is_frequent = F.lit(False)
+        for lang in frequent:
+            is_frequent = is_frequent | F.col("lang").eqNullSafe(F.lit(lang))
+        known = distances.where(is_frequent)
+        own = distances.where(~is_frequent).join(rare, F.col("lang").eqNullSafe(F.col("__lang")))
+        own = (
+            own.withColumn("char_distance", F.least("char_distance", js_distance(F.col("shares"), F.col("own_shares"))))
+            .withColumn(
+                "word_distance", F.least("word_distance", js_distance(F.col("word_shares"), F.col("own_word_shares")))
+            )
+            .drop("__lang", "own_shares", "own_word_shares")
+        )
+        distances = known.withColumn("__docs", F.lit(None).cast("long")).unionByName(own)
+        enough = F.coalesce(F.col("__docs") >= MIN_REFERENCE_DOCS, F.lit(True))
+
     failed = (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words")
     )
@@ -191,11 +232,9 @@ def judge(
         (F.col("n_words") >= min_words) & (F.col("word_distance") > base + slope / F.col("n_words"))
     )
     return (
-        distances.withColumn("char_distance", nearest("shares", 0))
-        .withColumn("word_distance", nearest("word_shares", 1))
-        .withColumn("base_failed", failed)
-        .withColumn("kept", ~failed & ~far)
-        .drop("classes", "common", "shares", "word_shares")
+        distances.withColumn("base_failed", failed)
+        .withColumn("kept", ~failed & ~(far & enough))
+        .drop("classes", "common", "shares", "word_shares", "__docs")
     )
 
 
