@@ -4,9 +4,9 @@ Full windows are cut off each document; what remains of a document is one piece.
 multiset of remaining lengths fills window after window: the longest remaining piece
 opens a window, and a bitset of reachable sums (bit s of an integer: some pieces sum to
 s) over the lengths present finds the fill closest to the capacity; walking back through
-the bitsets gives how many pieces of each length it takes. A window that no choice fills
-exactly waits until more documents have come; what is left at the end of a partition is
-cut freely into full windows, and the last, partial one into lengths that are powers of
+the bitsets gives how many pieces of each length it takes. Pieces that no choice fills up
+exactly are set aside until more documents have come, and the next longest goes on; what
+is left at the end of a partition is cut freely into full windows, and the last, partial one into lengths that are powers of
 two and so need no padding. Every partition packs its own rows: nothing is shuffled.
 """
 
@@ -88,6 +88,18 @@ class Pool:
         lengths = [first, *(length for length, n in fill.items() for _ in range(n))]
         return [(*self.take(length), length) for length in lengths]
 
+    def drain(self) -> Iterator[list[tuple[int, int, int]]]:
+        """Windows filled exactly; pieces that open none are set aside and stay in the pool."""
+        aside: dict[int, list[tuple[int, int]]] = {}
+        while self.by_length:
+            window = self.window()
+            if window is None:
+                longest = max(self.by_length)
+                aside[longest] = self.by_length.pop(longest)
+            else:
+                yield window
+        self.by_length = aside
+
     def rest(self) -> Iterator[list[tuple[int, int, int]]]:
         """All that is left, cut into full windows and then powers of two."""
         left = [(*piece, n) for n, pieces in sorted(self.by_length.items()) for piece in pieces]
@@ -150,10 +162,6 @@ def pack(
                 ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"],
             )
 
-        def drain() -> None:
-            while remaining.size and (window := remaining.window()):
-                emit(window)
-
         for batch in batches:
             for at in range(0, batch.num_rows, tokens.TEXTS):
                 rows = batch.slice(at, tokens.TEXTS)
@@ -173,7 +181,8 @@ def pack(
                         del kept[number]
                     number += 1
                 if remaining.size >= pool:
-                    drain()
+                    for window in remaining.drain():
+                        emit(window)
                     alive = {doc for pieces in remaining.by_length.values() for doc, _ in pieces}
                     kept = {doc: kept[doc] for doc in alive}
                     if remaining.size >= pool // 2:  # lengths that no window can combine
@@ -182,7 +191,8 @@ def pack(
                         kept = {}
                 if len(out) > 20_000:
                     yield flushed()
-        drain()
+        for window in remaining.drain():
+            emit(window)
         for window in remaining.rest():
             emit(window)
         yield flushed()
