@@ -16,9 +16,12 @@ from changefeed.llm import (
     counterfactual,
     divergence,
     golay,
+    ownership,
     patricia,
     pitman_yor,
     pivotal_mix,
+    product_codes,
+    source_audit,
     suffix_trees,
     url_graph,
 )
@@ -91,6 +94,18 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bit_planes.token_files(table(spark, sf_dir, "documents"))
 
 
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ownership.scan(table(spark, sf_dir, "documents"))
+
+
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit.audit(table(spark, sf_dir, "documents"))
+
+
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return product_codes.codes(table(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -120,6 +135,9 @@ QUERIES: dict[str, Query] = {
         "op8_toxicity": op8,
         "op9_pack": op9,
         "op10_token_files": op10,
+        "op11_secrets": op11,
+        "op12_source_audit": op12,
+        "op13_vector_codes": op13,
         "pipeline": pipeline,
     }.items()
 }
@@ -132,4 +150,7 @@ SELECT doc_id, max(doc_id) OVER (PARTITION BY h) AS keep_id,
        count(*) OVER (PARTITION BY h) AS group_size,
        doc_id = max(doc_id) OVER (PARTITION BY h) AS kept, h AS text_sha256
 FROM t""",
+    "op11_secrets": ownership.oracle(),
+    "op12_source_audit": source_audit.oracle(),
+    "op13_vector_codes": product_codes.oracle(),
 }
