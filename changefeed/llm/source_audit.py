@@ -3,9 +3,9 @@
 The counts are made the way a CountVectorizer per language makes them: ``fit`` keeps the terms
 in at least ``min_df`` documents, at most as many as an integer index allows, and ``transform``
 gives each document its exact sparse vector. Spark's own class holds the vocabulary in the
-driver and in every task, which grows with the corpus; here it is a table. The texts of a block
-of documents are split once into postings (term, which documents), these are joined with the
-vocabulary, and come together again by block as vectors.
+driver and in every task, which grows with the corpus; here it is a table. Documents are split
+once, in blocks that list each of their terms once. Only these terms go to the vocabulary and
+come back with their index; a term is in a block at most once, so none of them is a hot key.
 
 Vectors are summed per group of language and source. The divergence of two groups is a sum
 over all terms, but only terms that one of them has need a look: both have none, a constant;
@@ -16,6 +16,7 @@ for each such term.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -31,12 +32,12 @@ VOCAB_SIZE = 2**31 - 1
 UNIT = 1_000_000_000
 TOP_TERMS = 10
 
-# Bytes of text in a block of postings; a longer text makes a block alone.
-BLOCK_BYTES, BLOCK_DOCS = 4 << 20, 1 << 16
-# A term may be in every block: its postings meet the vocabulary in so many tasks.
-SALTS = 16
-# Counts that a task holds before it passes them on, and pairs evaluated in one go.
-HELD, PAIRS = 2_000_000, 1_000_000
+# Bytes of text in the blocks that a task holds at a time; a longer text is a block alone.
+BLOCK_BYTES, BLOCK_DOCS = 16 << 20, 1 << 16
+# Indices that are summed as one packed row.
+CHUNK = 1 << 12
+# Rows and sums that a task holds before it passes them on.
+HELD = 2_000_000
 
 # A term is a run of [^\x00-\x40\x5B-\x60\x7B-\x7F], that is of ASCII letters and of all
 # bytes from 0x80. What is not in a term becomes a space; only A-Z change.
@@ -49,54 +50,46 @@ def terms(text: bytes) -> list[bytes]:
     return text.translate(_FOLD).split()
 
 
-POSTINGS = "block long, lang string, term string, df int, places binary"
-HEADS = "block long, lang string, doc_ids array<long>, sources array<string>"
-_BOTH = f"{POSTINGS}, doc_ids array<long>, sources array<string>"
+BLOCKS = (
+    "block long, lang string, doc_ids array<long>, sources array<string>, "
+    "terms array<string>, df array<int>, counts binary, places binary"
+)
 
 
-def _block(block: int, lang: str, docs: list[tuple[int | None, str, bytes]]) -> pa.RecordBatch:
-    """The postings of a block after a row that lists its documents."""
-    seen: dict[bytes, int] = {}
-    ids: list[int] = []
-    lengths = []
-    for _, _, text in docs:
-        found = terms(text)
-        lengths.append(len(found))
-        ids += [seen.setdefault(word, len(seen)) for word in found]
-    places = np.repeat(np.arange(len(docs)), lengths)
-    order = np.argsort(np.array(ids, np.int64), kind="stable")
-    of_term, places = np.array(ids, np.int64)[order], places[order].astype(np.uint16)
-    starts = run_starts(of_term)
-    new = np.ones(len(places), np.int64)
+def _listed(values: pa.Array) -> pa.Array:
+    """One row with all the values."""
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+
+
+def _block(block: int, lang: str, docs: list[tuple[int | None, str, np.ndarray]], seen: dict[bytes, int]) -> pa.RecordBatch:
+    """A row with the terms of a block: the documents of each term, one for each occurrence."""
+    of_term = np.concatenate([ids for *_, ids in docs])
+    places = np.repeat(np.arange(len(docs), dtype=np.uint16), [len(ids) for *_, ids in docs])
+    order = np.argsort(of_term, kind="stable")
+    of_term, places = of_term[order], places[order]
+    new = np.ones(len(places), np.int32)
     new[1:] = (of_term[1:] != of_term[:-1]) | (places[1:] != places[:-1])
+    starts = run_starts(of_term)
     df = np.add.reduceat(new, starts) if len(starts) else new
-    edges = np.append(starts, len(places)).astype(np.int64) * 2
-    binary = pa.LargeBinaryArray.from_buffers(
-        pa.large_binary(), len(starts), [None, pa.py_buffer(edges), pa.py_buffer(places)]
-    ).cast(pa.binary())
-    n = len(starts)
     columns = {
-        "block": pa.array(np.full(n + 1, block)),
-        "lang": pa.array([lang] * (n + 1), pa.string()),
-        "term": pa.array([None, *(w.decode("utf-8", "replace") for w in seen)], pa.string()),
-        "df": pa.concat_arrays([pa.nulls(1, pa.int32()), pa.array(df[:n].astype(np.int32))]),
-        "places": pa.concat_arrays([pa.nulls(1, pa.binary()), binary]),
-        "doc_ids": pa.array([[d[0] for d in docs], *[None] * n], pa.list_(pa.int64())),
-        "sources": pa.array([[d[1] for d in docs], *[None] * n], pa.list_(pa.string())),
+        "block": pa.array([block]),
+        "lang": pa.array([lang], pa.string()),
+        "doc_ids": _listed(pa.array([d[0] for d in docs], pa.int64())),
+        "sources": _listed(pa.array([d[1] for d in docs], pa.string())),
+        "terms": _listed(pa.array([w.decode("utf-8", "replace") for w in seen], pa.string())),
+        "df": _listed(pa.array(df.astype(np.int32))),
+        "counts": pa.array([np.diff(np.append(starts, len(places))).astype(np.uint32).tobytes()], pa.binary()),
+        "places": pa.array([places.tobytes()], pa.binary()),
     }
     return pa.RecordBatch.from_pydict(columns)
 
 
-def postings(documents: DataFrame) -> DataFrame:
-    """The terms of blocks of documents, each block of one language and in one task.
-
-    ``term`` is null in the row that lists a block's documents. ``places`` names the document
-    of every occurrence by its number in the block.
-    """
+def blocks(documents: DataFrame, *, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """Blocks of documents of one language, with their terms; a row for each block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << 32
-        held: dict[str, list] = {}
+        held: dict[str, tuple[list, dict[bytes, int]]] = {}
         size = count = 0
         for batch in batches:
             rows = zip(
@@ -107,18 +100,21 @@ def postings(documents: DataFrame) -> DataFrame:
                 strict=True,
             )
             for doc_id, lang, source, text in rows:
-                if held and (size + len(text) > BLOCK_BYTES or count == BLOCK_DOCS):
-                    for name, docs in held.items():
-                        yield _block(block, name, docs)
+                if held and (size + len(text) > block_bytes or count == BLOCK_DOCS):
+                    for name, (docs, seen) in held.items():
+                        yield _block(block, name, docs, seen)
                         block += 1
                     held, size, count = {}, 0, 0
-                held.setdefault(lang, []).append((doc_id, source, text))
+                docs, seen = held.setdefault(lang, ([], {}))
+                number = seen.setdefault
+                ids = np.array([number(word, len(seen)) for word in terms(text)], np.int32)
+                docs.append((doc_id, source, ids))
                 size, count = size + len(text), count + 1
-        for name, docs in held.items():
-            yield _block(block, name, docs)
+        for name, (docs, seen) in held.items():
+            yield _block(block, name, docs, seen)
             block += 1
 
-    return _plain(documents).mapInArrow(run, _BOTH)
+    return _plain(documents).mapInArrow(run, BLOCKS)
 
 
 def _plain(documents: DataFrame) -> DataFrame:
@@ -126,13 +122,19 @@ def _plain(documents: DataFrame) -> DataFrame:
     return documents.select(F.col("doc_id").cast("long"), empty("text"), empty("lang"), empty("source"))
 
 
-def fit(posted: DataFrame, *, min_df: int = MIN_DF, vocab_size: int = VOCAB_SIZE) -> DataFrame:
+def _terms_of(made: DataFrame) -> DataFrame:
+    """``block``, ``lang``, ``at``, ``term`` and ``df`` of each term of each block."""
+    exploded = made.select("block", "lang", F.posexplode(F.arrays_zip("terms", "df")).alias("at", "t"))
+    return exploded.select("block", "lang", "at", F.col("t.terms").alias("term"), F.col("t.df").alias("df"))
+
+
+def fit(made: DataFrame, *, min_df: int = MIN_DF, vocab_size: int = VOCAB_SIZE) -> DataFrame:
     """The vocabulary: ``lang``, ``term``, ``df`` and ``index``, from 0 in the order of UTF-8.
 
     A language with more terms than ``vocab_size`` raises an error when it is read; none is
     dropped. Positions come from a range partitioning and one row per partition and language.
     """
-    counts = posted.where(F.col("term").isNotNull()).groupBy("lang", "term").agg(F.sum("df").alias("df"))
+    counts = _terms_of(made).groupBy("lang", "term").agg(F.sum("df").alias("df"))
     placed = written(range_ordered(counts.where(F.col("df") >= min_df), "lang", "term"), "vocabulary")
     spans = placed.groupBy(F.col("_block").alias("at"), F.col("lang").alias("of")).agg(
         F.count(F.lit(1)).alias("n"), F.min("_row").alias("first")
@@ -147,92 +149,145 @@ def fit(posted: DataFrame, *, min_df: int = MIN_DF, vocab_size: int = VOCAB_SIZE
     return placed.join(spans, same).select("lang", "term", "df", checked.alias("index"))
 
 
-def _vectors(table: pa.Table) -> pa.Table:
-    """The sparse vectors of one block."""
-    head = next(i for i, at in enumerate(table.column("index").to_pylist()) if at is None)
-    doc_ids, sources = (table.column(c)[head].as_py() for c in ("doc_ids", "sources"))
-    rest = table.filter(pa.compute.is_valid(table.column("index"))).sort_by("index")
-    places = rest.column("places").to_pylist()
-    which = np.frombuffer(b"".join(places), np.uint16)
-    index = np.repeat(rest.column("index").to_numpy(), [len(p) // 2 for p in places])
-    order = np.argsort(which, kind="stable")
-    which, index = which[order].astype(np.int64), index[order]
-    first = np.flatnonzero(np.r_[True, (which[1:] != which[:-1]) | (index[1:] != index[:-1])][: len(which)])
-    counts = np.diff(np.append(first, len(which)))
-    edges = pa.array(np.searchsorted(which[first], np.arange(len(doc_ids) + 1)).astype(np.int32))
+VECTORS = (
+    "lang string, doc_ids array<long>, sources array<string>, edges binary, indices binary, counts binary"
+)
+
+
+def _vectors(made: pa.Table, known: pa.Table) -> pa.Table:
+    """The sparse vectors of one block as the rows of a compressed matrix."""
+    counts = np.frombuffer(made.column("counts")[0].as_py(), np.uint32)
+    index = np.full(len(counts), -1, np.int64)
+    index[known.column("at").to_numpy()] = known.column("index").to_numpy()
+    of_place = np.repeat(index, counts)
+    places = np.frombuffer(made.column("places")[0].as_py(), np.uint16).astype(np.int64)
+    cells = np.sort((places << 32 | of_place)[of_place >= 0])
+    first = run_starts(cells)
+    number = np.diff(np.append(first, len(cells))).astype(np.int32)
+    cells = cells[first]
+    n_docs = len(made.column("doc_ids")[0])
+    edges = np.searchsorted(cells >> 32, np.arange(n_docs + 1)).astype(np.int32)
+    packed = {"edges": edges, "indices": (cells & 0xFFFFFFFF).astype(np.int32), "counts": number}
     return pa.table(
         {
-            "lang": pa.array([table.column("lang")[head].as_py()] * len(doc_ids), pa.string()),
-            "source": pa.array(sources, pa.string()),
-            "doc_id": pa.array(doc_ids, pa.int64()),
-            "indices": pa.ListArray.from_arrays(edges, pa.array(index[first].astype(np.int32))),
-            "counts": pa.ListArray.from_arrays(edges, pa.array(counts.astype(np.int32))),
+            **{name: made.column(name) for name in ("lang", "doc_ids", "sources")},
+            **{name: pa.array([values.tobytes()], pa.binary()) for name, values in packed.items()},
         }
     )
 
 
-VECTORS = "lang string, source string, doc_id long, indices array<int>, counts array<int>"
+def transform(made: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """The exact sparse vectors of the documents, a row with a compressed matrix per block.
 
+    Row ``i`` of a block's matrix has the ascending ``indices`` and ``counts`` between
+    ``edges[i]`` and ``edges[i + 1]``, none if the document has no term of the vocabulary.
+    """
+    known = _terms_of(made).join(vocabulary.select("lang", "term", "index"), ["lang", "term"])
+    known = known.select(F.col("block").alias("of_block"), "at", "index")
+    payload = made.select("block", "lang", "doc_ids", "sources", "counts", "places")
+    return payload.groupBy("block").cogroup(known.groupBy("of_block")).applyInArrow(_vectors, VECTORS)
 
-def transform(posted: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """The exact sparse vector of every document: ``indices`` ascending, and ``counts``.
 
-    A document without a term of the vocabulary has an empty vector. A block has at most
-    ``BLOCK_BYTES`` of text, or one document.
-    """
-    heads = posted.where(F.col("term").isNull()).select(
-        "block", "lang", F.lit(None).cast("int").alias("index"), "places", "doc_ids", "sources"
-    )
-    salt = F.pmod(F.xxhash64("block"), F.lit(SALTS)).cast("int").alias("salt")
-    found = posted.where(F.col("term").isNotNull()).select("block", "lang", "term", "places", salt)
-    known = vocabulary.select("lang", "term", "index", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    kept = found.join(known, ["lang", "term", "salt"]).select(
-        "block",
-        "lang",
-        "index",
-        "places",
-        F.lit(None).cast("array<long>").alias("doc_ids"),
-        F.lit(None).cast("array<string>").alias("sources"),
-    )
-    return heads.unionByName(kept).groupBy("block").applyInArrow(_vectors, VECTORS)
+def vectors(documents: DataFrame, *, min_df: int = MIN_DF) -> tuple[DataFrame, DataFrame]:
+    """A row per document with ``lang``, ``source``, ``doc_id``, ``indices`` and ``counts``, and the vocabulary."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = {name: batch.column(name)[i].as_py() for name in batch.schema.names}
+                edges = pa.array(np.frombuffer(row["edges"], np.int32))
+                lists = [
+                    pa.ListArray.from_arrays(edges, pa.array(np.frombuffer(row[c], np.int32)))
+                    for c in ("indices", "counts")
+                ]
+                heads = [pa.array([row["lang"]] * len(row["doc_ids"]), pa.string())]
+                heads += [pa.array(row["sources"], pa.string()), pa.array(row["doc_ids"], pa.int64())]
+                yield pa.RecordBatch.from_arrays([*heads, *lists], ["lang", "source", "doc_id", "indices", "counts"])
+
+    made = written(blocks(documents), "audit-blocks")
+    vocabulary = written(fit(made, min_df=min_df), "terms")
+    rows = "lang string, source string, doc_id long, indices array<int>, counts array<int>"
+    return transform(made, vocabulary).mapInArrow(run, rows), vocabulary
+
+
+def _packed_sums(batches: Iterator[pa.RecordBatch], *, chunk: int) -> Iterator[pa.RecordBatch]:
+    """The sums of the vectors of a block by source, in rows of ``chunk`` indices."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            row = {name: batch.column(name)[i].as_py() for name in ("lang", "sources", "edges", "indices", "counts")}
+            edges, indices, counts = (np.frombuffer(row[c], np.int32) for c in ("edges", "indices", "counts"))
+            names = {name: k for k, name in enumerate(dict.fromkeys(row["sources"]))}
+            of_doc = np.array([names[s] for s in row["sources"]], np.int64)
+            cells = np.repeat(of_doc, np.diff(edges)) << 32 | indices
+            order = np.argsort(cells)
+            cells, counts = cells[order], counts[order].astype(np.int64)
+            first = run_starts(cells)
+            if not len(first):
+                continue
+            cells, total = cells[first], np.add.reduceat(counts, first)
+            rows = run_starts(cells // chunk)
+            bounds = np.append(rows, len(cells))
+            of_row = cells[rows]
+            listed = list(names)
+            offsets, sums = (cells % chunk).astype(np.uint16), total
+            cut = lambda values: pa.array(
+                [values[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary()  # noqa: B023
+            )
+            columns = [
+                pa.array([row["lang"]] * len(rows), pa.string()),
+                pa.array([listed[k] for k in (of_row >> 32).tolist()], pa.string()),
+                pa.array(((of_row & 0xFFFFFFFF) // chunk).astype(np.int32)),
+                cut(offsets),
+                cut(sums),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["lang", "source", "chunk", "offsets", "sums"])
+
+
+def _added(batches: Iterator[pa.RecordBatch], *, chunk: int) -> Iterator[pa.RecordBatch]:
+    """The rows of a chunk added up; they come sorted, so one chunk is held at a time."""
+    out: list[tuple[tuple, np.ndarray, np.ndarray]] = []
+    size, at, total = 0, None, np.zeros(chunk, np.int64)
+
+    def close() -> int:
+        used = np.flatnonzero(total)
+        out.append((at, (used + at[2] * chunk).astype(np.int32), total[used]))
+        total[:] = 0
+        return len(used)
 
+    def flushed() -> pa.RecordBatch:
+        sizes = [len(index) for _, index, _ in out]
+        repeated = lambda k: pa.array(np.repeat(np.array([key[k] for key, *_ in out], object), sizes), pa.string())
+        columns = [repeated(0), repeated(1)] + [pa.array(np.concatenate([o[k] for o in out])) for k in (1, 2)]
+        return pa.RecordBatch.from_arrays(columns, ["lang", "source", "index", "count"])
 
-def group_sums(vectors: DataFrame) -> DataFrame:
+    for batch in batches:
+        keys = zip(*(batch.column(c).to_pylist() for c in ("lang", "source", "chunk")), strict=True)
+        for key, offsets, sums in zip(
+            keys, batch.column("offsets").to_pylist(), batch.column("sums").to_pylist(), strict=True
+        ):
+            if at is not None and key != at:
+                size += close()
+                if size > HELD:
+                    yield flushed()
+                    out, size = [], 0
+            at = key
+            total[np.frombuffer(offsets, np.uint16)] += np.frombuffer(sums, np.int64)
+    if at is not None:
+        close()
+        yield flushed()
+
+
+def group_sums(matrices: DataFrame, *, chunk: int = CHUNK) -> DataFrame:
     """The sum of the vectors of each group: ``lang``, ``source``, ``index``, ``count``.
 
-    A task adds up what it has before the shuffle, in bounded pieces.
+    The vectors of a block are added up before the shuffle.
     """
-
-    def flushed(held: dict) -> Iterator[pa.RecordBatch]:
-        for (lang, source), parts in held.items():
-            index, inverse = np.unique(np.concatenate([i for i, _ in parts]), return_inverse=True)
-            total = np.zeros(len(index), np.int64)
-            np.add.at(total, inverse, np.concatenate([c for _, c in parts]))
-            names = [pa.array([v] * len(index), pa.string()) for v in (lang, source)]
-            yield pa.RecordBatch.from_arrays(
-                [*names, pa.array(index.astype(np.int32)), pa.array(total)], ["lang", "source", "index", "count"]
-            )
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[str, str], list] = {}
-        size = 0
-        for batch in batches:
-            langs, sources = (batch.column(c).to_pylist() for c in ("lang", "source"))
-            indices, counts = (batch.column(c) for c in ("indices", "counts"))
-            edges = np.concatenate([[0], np.cumsum(indices.value_lengths().to_numpy(zero_copy_only=False))])
-            index, count = (c.flatten().to_numpy(zero_copy_only=False) for c in (indices, counts))
-            for i, group in enumerate(zip(langs, sources, strict=True)):
-                a, b = int(edges[i]), int(edges[i + 1])
-                if b > a:
-                    held.setdefault(group, []).append((index[a:b].copy(), count[a:b].copy()))
-                    size += b - a
-            if size > HELD:
-                yield from flushed(held)
-                held, size = {}, 0
-        yield from flushed(held)
-
-    partial = vectors.mapInArrow(run, "lang string, source string, index int, count long")
-    return partial.groupBy("lang", "source", "index").agg(F.sum("count").alias("count"))
+    packed = matrices.mapInArrow(
+        partial(_packed_sums, chunk=chunk), "lang string, source string, chunk int, offsets binary, sums binary"
+    )
+    keys = ["lang", "source", "chunk"]
+    dealt = packed.repartition(*keys).sortWithinPartitions(*keys)
+    return dealt.mapInArrow(partial(_added, chunk=chunk), "lang string, source string, index int, count long")
 
 
 def _probability(count: Column, total: Column, terms_of_lang: Column) -> Column:
@@ -254,10 +309,10 @@ def _f(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return (p - q) ** 2 // (p + q)
 
 
-def _corrections(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _corrections(batches: Iterator[pa.RecordBatch], *, most: int) -> Iterator[pa.RecordBatch]:
     """For each pair a < b of sources: the sum over the terms that both have of what their
     divergence differs from the sum of the two one-sided ones. Rows come sorted by language,
-    index and source, whole terms in one task."""
+    index and source, whole terms in one task, ``most`` rows and sums are held at a time."""
     held: dict[tuple[str, str, str], int] = {}
 
     def flushed() -> pa.RecordBatch:
@@ -302,7 +357,7 @@ def _corrections(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sizes = np.diff(np.append(starts, len(index)))
             for k in np.unique(sizes[sizes > 1]):
                 of_size = starts[sizes == k]
-                step = max(1, PAIRS // int(k))
+                step = max(1, most // (2 * int(k)))
                 for at in range(0, len(of_size), step):
                     rows = of_size[at : at + step, None] + np.arange(k)
                     evaluate(lang, names[by_name], source[rows], p[rows], p0[rows])
@@ -314,7 +369,7 @@ def _corrections(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             continue
         waiting.append(pa.Table.from_batches([batch]))
         count += batch.num_rows
-        if count < HELD:
+        if count < most:
             continue
         table = pa.concat_tables(waiting).combine_chunks()
         index, lang = table.column("index").to_numpy(), table.column("lang").to_numpy()
@@ -324,14 +379,14 @@ def _corrections(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if whole:
             chunk(table.slice(0, whole))
         waiting, count = [table.slice(whole)], table.num_rows - whole
-        if len(held) > HELD:
+        if len(held) > most:
             yield flushed()
     if waiting:
         chunk(pa.concat_tables(waiting).combine_chunks())
     yield flushed()
 
 
-def pair_values(dealt: DataFrame, groups: DataFrame) -> DataFrame:
+def pair_values(dealt: DataFrame, groups: DataFrame, *, held: int = HELD) -> DataFrame:
     """``lang``, ``a``, ``b``, ``value`` of all ordered pairs of sources of a language.
 
     ``groups`` has a row per group with ``p0``, the probability of a term it does not have,
@@ -350,7 +405,7 @@ def pair_values(dealt: DataFrame, groups: DataFrame) -> DataFrame:
     )
     by_term = dealt.select("lang", "index", "source", "p", "p0").repartition("lang", "index")
     shared = by_term.sortWithinPartitions("lang", "index", "source").mapInArrow(
-        _corrections, "lang string, a string, b string, value long"
+        partial(_corrections, most=held), "lang string, a string, b string, value long"
     )
     total = ground.unionByName(sided).unionByName(shared).groupBy("lang", "a", "b").agg(F.sum("value").alias("value"))
     total = written(total, "pair-values")
@@ -363,7 +418,15 @@ def _ranked(values: DataFrame, *order: Column) -> DataFrame:
     return values.withColumn("rank", rank.cast("int"))
 
 
-def audit(documents: DataFrame, *, min_df: int = MIN_DF, top: int = TOP_TERMS) -> DataFrame:
+def audit(
+    documents: DataFrame,
+    *,
+    min_df: int = MIN_DF,
+    top: int = TOP_TERMS,
+    block_bytes: int = BLOCK_BYTES,
+    chunk: int = CHUNK,
+    held: int = HELD,
+) -> DataFrame:
     """``lang``, ``source``, ``part``, ``item``, ``value``, ``rank`` of all groups.
 
     Part ``pair`` has the other sources of the language by falling divergence, part ``term``
@@ -372,9 +435,9 @@ def audit(documents: DataFrame, *, min_df: int = MIN_DF, top: int = TOP_TERMS) -
     repeated one, too. A language without kept terms has pairs of value 0 and no terms; a
     source alone in its language has no pairs. Other columns are not read; no rows give none.
     """
-    posted = written(postings(documents), "postings")
-    vocabulary = written(fit(posted, min_df=min_df), "terms")
-    sums = written(group_sums(transform(posted, vocabulary)), "group-sums")
+    made = written(blocks(documents, block_bytes=block_bytes), "audit-blocks")
+    vocabulary = written(fit(made, min_df=min_df), "terms")
+    sums = written(group_sums(transform(made, vocabulary), chunk=chunk), "group-sums")
     sizes = vocabulary.groupBy("lang").agg(F.count(F.lit(1)).alias("V"))
     totals = sums.groupBy("lang", "source").agg(F.sum("count").alias("N"))
     groups = _plain(documents).select("lang", "source").distinct()
@@ -395,7 +458,7 @@ def audit(documents: DataFrame, *, min_df: int = MIN_DF, top: int = TOP_TERMS) -
         _probability(F.col("lang_count"), F.col("lang_n"), F.col("V")).alias("q"),
     )
     dealt = written(dealt, "probabilities")
-    pairs = pair_values(dealt, groups).withColumnsRenamed({"a": "source", "b": "item"})
+    pairs = pair_values(dealt, groups, held=held).withColumnsRenamed({"a": "source", "b": "item"})
     pairs = _ranked(pairs, F.desc("value"), F.asc("item"))
     above = dealt.where("p > q").select("lang", "source", "index", _apart(F.col("p"), F.col("q")).alias("value"))
     # Indices ascend with the terms' UTF-8 bytes.

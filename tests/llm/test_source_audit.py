@@ -45,19 +45,16 @@ def test_equals_sql(spark, min_df):
     assert sorted(repr(tuple(r[c] for c in order)) for r in got) == want
 
 
-def test_small_blocks_and_chunks_change_nothing(spark, monkeypatch):
-    monkeypatch.setattr(source_audit, "BLOCK_BYTES", 5_000)
-    monkeypatch.setattr(source_audit, "HELD", 50)
-    monkeypatch.setattr(source_audit, "PAIRS", 7)
-    got = source_audit.audit(spark.createDataFrame(rows(), SCHEMA)).collect()
+def test_small_blocks_and_chunks_change_nothing(spark):
+    docs = spark.createDataFrame(rows(), SCHEMA)
+    got = source_audit.audit(docs, block_bytes=5_000, chunk=8, held=50).collect()
     order, want = sql(rows())
     assert sorted(repr(tuple(r[c] for c in order)) for r in got) == want
 
 
 def test_vectors_equal_count_vectorizer(spark):
     docs = spark.createDataFrame([r for r in rows() if r[2] == "en"], SCHEMA)
-    posted = source_audit.postings(docs).cache()
-    vocabulary = source_audit.fit(posted)
+    found, vocabulary = source_audit.vectors(docs)
     term_of = {r["index"]: r.term for r in vocabulary.collect()}
     assert sorted(term_of) == list(range(len(term_of)))
     assert [term_of[i] for i in range(len(term_of))] == sorted(term_of.values(), key=lambda t: t.encode())
@@ -71,7 +68,7 @@ def test_vectors_equal_count_vectorizer(spark):
     ]
     got = [
         (r.doc_id, sorted((term_of[i], n) for i, n in zip(r.indices, r.counts, strict=True)))
-        for r in source_audit.transform(posted, vocabulary).collect()
+        for r in found.collect()
     ]
     assert sorted(map(repr, got)) == sorted(map(repr, want))
 
