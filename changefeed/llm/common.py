@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +43,14 @@ def texts(column: pa.Array) -> list[bytes]:
     return [v if v is not None else b"" for v in values]
 
 
+def fresh(columns: Sequence[str], name: str) -> str:
+    """``name``, longer by underscores until no column has it in any case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder.
 

@@ -8,7 +8,6 @@ from pathlib import Path
 
 import numpy as np
 import pytest
-import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -49,23 +48,22 @@ def check_exact(before, after):
     assert sorted(owner.values()) == sorted(after)
 
 
-def fingerprint(text):
+def shingles(text):
     words = text.encode().lower().split()
-    if not words:
-        return 0
-    shingles = [b" ".join(words[i : i + 4]) for i in range(max(1, len(words) - 3))]
-    hashes = [xxhash.xxh64_intdigest(s, 42) for s in shingles]
-    return sum(1 << bit for bit in range(64) if 2 * sum(h >> bit & 1 for h in hashes) > len(hashes))
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
 
 
 def check_near(before, after):
     ordered = sorted(before)
-    prints = np.array([fingerprint(row[1]) for row in ordered], np.uint64)
-    group = np.arange(len(ordered))
-    for i in range(len(ordered)):
-        for j in np.flatnonzero(np.bitwise_count(prints ^ prints[i]) <= 4):
-            low, high = sorted((group[i], group[j]))
-            group[group == high] = low
+    sets, group = [shingles(row[1]) for row in ordered], np.arange(len(ordered))
+    for i, one in enumerate(sets):
+        for j, two in enumerate(sets[:i]):
+            if min(len(one), len(two)) < 0.79 * max(len(one), len(two)):
+                continue
+            both = len(one & two)
+            if both >= 0.8 * (len(one) + len(two) - both) - 1e-9:
+                low, high = sorted((group[i], group[j]))
+                group[group == high] = low
     assert sorted(after) == [ordered[i] for i in sorted(set(group.tolist()))]
 
 
