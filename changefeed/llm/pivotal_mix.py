@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from changefeed.llm.common import words, written
+from changefeed.llm.common import fresh, words, written
 
 WEIGHTS = (5, 2, 1)
 MAX_COPIES = 3
@@ -184,8 +184,21 @@ def _mixed(
 
 
 def mixed_documents(documents: DataFrame) -> DataFrame:
-    """The documents as the mix takes them: each row as often as it has copies."""
+    """The documents as the mix takes them: each row as often as it has copies.
+
+    Rounding sees ids, sources and sizes only; the texts meet their copies once, afterwards.
+    Rows are known by two 64-bit hashes of all their columns; equal rows are rounded each on
+    its own and their copies added. The columns are those of the input, whatever their names.
+    Null and empty texts have no words and are not taken; null sources are one source.
+    """
     columns = documents.columns
-    mixed = mix(documents.select(*columns))
-    repeated = mixed.where("copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), "copies")))
-    return repeated.select(*columns)
+    one, two, taken = (fresh(columns, name) for name in ("__one", "__two", "__taken"))
+    keyed = documents.withColumns({one: F.xxhash64(*columns), two: F.xxhash64(F.lit(SEED), *columns)})
+    size = F.size(words(F.col("text"))).cast("long")
+    sized = keyed.select(
+        "doc_id", "source", size.alias("__size"), F.col(one).alias("__one"), F.col(two).alias("__two")
+    )
+    mixed = _mixed(sized, ["__one", "__two"], WEIGHTS, MAX_COPIES, BLOCK, FAN_IN)
+    copies = mixed.groupBy(F.col("__one").alias(one), F.col("__two").alias(two)).agg(F.sum("copies").alias(taken))
+    rows = keyed.join(copies.where(F.col(taken) > 0), [one, two]).dropDuplicates([one, two])
+    return rows.withColumn(taken, F.explode(F.sequence(F.lit(1).cast("long"), F.col(taken)))).select(*columns)
