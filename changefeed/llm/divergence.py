@@ -149,9 +149,9 @@ def js_distance(p: Column, q: Sequence[float] | Column) -> Column:
 
 def references(
     counts: DataFrame, *, common: Sequence[str] = tuple(COMMON_WORDS)
-) -> tuple[list[tuple], list[str | None], DataFrame | None]:
-    """Shares of classes and of common words of all documents and of each frequent language; if
-    there are rare languages, the names of the frequent ones and a table of the rare ones' shares."""
+) -> tuple[list[tuple], dict[str | None, int], DataFrame | None]:
+    """Shares of classes and of common words of all documents and of each frequent language; the
+    frequent ones with their documents; and if there are rare ones a table of their shares."""
     sums = [F.sum(F.col("classes")[i]) for i in range(7)]
     sums += [F.sum(F.col("common")[i]) for i in range(len(common) + 1)]
     named = [c.alias(f"s{i}") for i, c in enumerate(sums)]
@@ -168,14 +168,14 @@ def references(
     rows = [everything, *(row[1:] for row in frequent)]
     found = sorted({(tuple(shares(row[1:8])), tuple(shares(row[8:]))) for row in rows})
     if sum(row["docs"] for row in frequent) == total:
-        return found, [], None
+        return found, {row["lang"]: row["docs"] for row in frequent}, None
     rare = by_lang.where(F.col("docs") * 100 < total).select(
         F.col("lang").alias("__lang"),
         F.col("docs").alias("__docs"),
         _shares(F.array(*(F.col(f"s{i}") for i in range(7)))).alias("own_shares"),
         _shares(F.array(*(F.col(f"s{i}") for i in range(7, len(sums))))).alias("own_word_shares"),
     )
-    return found, [row["lang"] for row in frequent], rare
+    return found, {row["lang"]: row["docs"] for row in frequent}, rare
 
 
 def judge(
@@ -207,7 +207,11 @@ def judge(
     distances = distances.withColumn("char_distance", nearest("shares", 0)).withColumn(
         "word_distance", nearest("word_shares", 1)
     )
+    # One guard for all languages, frequent or not.
     enough = F.lit(True)
+    for lang, docs in frequent.items():
+        if docs < MIN_REFERENCE_DOCS:
+            enough = enough & ~F.col("lang").eqNullSafe(F.lit(lang))
     if rare is not None:
         is_frequent = F.lit(False)
         for lang in frequent:
@@ -222,7 +226,7 @@ def judge(
             .drop("__lang", "own_shares", "own_word_shares")
         )
         distances = known.withColumn("__docs", F.lit(None).cast("long")).unionByName(own)
-        enough = F.coalesce(F.col("__docs") >= MIN_REFERENCE_DOCS, F.lit(True))
+        enough = enough & F.coalesce(F.col("__docs") >= MIN_REFERENCE_DOCS, F.lit(True))
 
     failed = (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words")
@@ -239,5 +243,12 @@ def judge(
 
 
 def kept_documents(documents: DataFrame, **options: object) -> DataFrame:
-    """The documents that pass, with the columns they came with."""
-    return judge(documents, **options).where("kept").select(*documents.columns)
+    """The documents that pass, with the columns they came with, whatever their names.
+
+    Null, empty and short texts do not pass. Rows that repeat pass or fail together.
+    """
+    others = [c for c in documents.columns if c not in ("text", "lang")]
+    places = {c: f"__in{i}" for i, c in enumerate(others)}
+    plain = documents.select("text", "lang", *(F.col(f"`{c}`").alias(p) for c, p in places.items()))
+    kept = judge(plain, **options).where("kept")
+    return kept.select(*(F.col(places.get(c, c)).alias(c) for c in documents.columns))
