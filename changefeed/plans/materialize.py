@@ -56,16 +56,17 @@ def resolve_epoch(
     ).first()
     count = examined.count()
     first_epoch = last.epoch < 0
+    ids = examined.select("event_id").where(F.col("is_event") & F.col("event_id").isNotNull())
     judged = resolve.judge(
-        examined, None if first_epoch else tables.logged_fingerprints(epoch)
+        examined, None if first_epoch else tables.logged.matching(ids, epoch - 1)
     )
     numbered = positions.with_sequence(judged, spans)
     tables.write(_stored(numbered), "records", epoch, "verdict")
     written = tables.records(epoch + 1).where(F.col("epoch") == epoch)
 
     events = written.where(F.col("verdict") == ACCEPTED)
-    versions = None if first_epoch else tables.current_versions(epoch)
     narrow = events.select("entity_type", "entity_key", "entity_version", "ord")
+    versions = None if first_epoch else tables.versions.matching(narrow, epoch - 1)
     touched = None if versions is None else resolve.versions_of(narrow, versions)
     decided = resolve.with_outcome(narrow, touched)
     best = resolve.best_versions(events, F.current_timestamp())
@@ -76,7 +77,7 @@ def resolve_epoch(
         F.current_timestamp(),
     )
     if not first_epoch:
-        earlier = tables.quarantine(epoch).select("quarantine_id")
+        earlier = tables.quarantined.matching(found.select("quarantine_id"), epoch - 1)
         found = found.join(earlier, "quarantine_id", "left_anti")
     sinks = {
         "outcomes": resolve.outcome_counts(written, decided).coalesce(1),
@@ -84,12 +85,18 @@ def resolve_epoch(
         "quarantine": found,
         "offsets": commit_offsets(examined).coalesce(1),
     }
-    # All four read what is written already; side by side they fill the cluster.
-    with ThreadPoolExecutor(len(sinks)) as pool:
-        writes = [pool.submit(tables.write, df, name, epoch) for name, df in sinks.items()]
-        for write in writes:
+    # They read what is written already; side by side they fill the cluster.
+    with ThreadPoolExecutor(len(sinks) + 1) as pool:
+        writes = {name: pool.submit(tables.write, df, name, epoch) for name, df in sinks.items()}
+        logged = pool.submit(tables.logged.add, events, epoch)
+        writes["state"].result()
+        changed = pool.submit(tables.versions.add, tables.written("state", epoch), epoch)
+        writes["quarantine"].result()
+        tables.quarantined.add(tables.written("quarantine", epoch), epoch)
+        for write in (*writes.values(), logged, changed):
             write.result()
     tables.commit(epoch, next_seq=totals[0], records=count, streams=known)
+    tables.tidy()
     return count
 
 

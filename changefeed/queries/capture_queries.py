@@ -129,38 +129,6 @@ def seed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat(orders.seed_orders(spark, sf_dir, moment(LOADED)))
 
 
-@query(
-    "synthetic_orders",
-    """
-SELECT mx + n AS o_orderkey, 1 + n * 7919 % 150000 AS o_custkey,
-       CASE n % 3 WHEN 0 THEN 'O' WHEN 1 THEN 'F' ELSE 'P' END AS o_orderstatus,
-       CAST(CAST(900 AS DECIMAL(12,2)) + CAST(n * 104729 % 50000000 AS DECIMAL(18,2)) / 100 AS DECIMAL(12,2))::VARCHAR AS o_totalprice,
-       CAST(DATE '1992-01-01' + CAST(n * 31 % 2405 AS INTEGER) AS VARCHAR) AS o_orderdate,
-       CASE n % 5 WHEN 0 THEN '1-URGENT' WHEN 1 THEN '2-HIGH' WHEN 2 THEN '3-MEDIUM'
-                  WHEN 3 THEN '4-NOT SPECIFIED' ELSE '5-LOW' END AS o_orderpriority,
-       'Clerk#' || lpad(CAST(1 + n * 13 % 1000 AS VARCHAR), 9, '0') AS o_clerk,
-       0 AS o_shippriority, 'synthetic order ' || (mx + n) AS o_comment,
-       'Customer#' || lpad(CAST(1 + n * 7919 % 150000 AS VARCHAR), 9, '0') AS c_name,
-       CASE n % 5 WHEN 0 THEN 'AUTOMOBILE' WHEN 1 THEN 'BUILDING' WHEN 2 THEN 'FURNITURE'
-                  WHEN 3 THEN 'HOUSEHOLD' ELSE 'MACHINERY' END AS c_mktsegment,
-       CAST(n % 25 AS INTEGER) AS c_nationkey,
-       CAST(CAST(n * 3571 % 1099999 AS DECIMAL(18,2)) / 100 - 999.99 AS DECIMAL(12,2))::VARCHAR AS c_acctbal,
-       1 AS row_version, epoch_us(TIMESTAMP '2024-06-01 12:00:00') AS updated_at
-FROM (SELECT c_custkey + 1 AS n FROM customer), (SELECT max(o_orderkey) AS mx FROM orders)
-""",
-)
-def synthetic_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """New orders after the highest key, as many as there are customers."""
-    last = orders.table(spark, sf_dir, "orders").agg(
-        F.coalesce(F.max("o_orderkey"), F.lit(0)).alias("mx")
-    )
-    numbers = orders.table(spark, sf_dir, "customer").select((F.col("c_custkey") + 1).alias("n"))
-    rows = orders.synthetic_orders(
-        numbers, number="n", key_offset=last.scalar(), loaded_at=moment(LOADED)
-    )
-    return _flat(rows)
-
-
 _PAYLOAD = (
     """'{"c_acctbal":"' || c_acctbal || '","c_mktsegment":"' || c_mktsegment || '","c_name":"' || c_name
   || '","c_nationkey":' || c_nationkey || ',"o_clerk":"' || o_clerk || '","o_comment":"' || o_comment
@@ -324,22 +292,28 @@ def sample_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "versioned_update",
-    f"""WITH {_SOURCE}, picked AS (SELECT o_orderkey AS pk FROM orders WHERE o_custkey % 5 = 0)
-SELECT o_orderkey, o_custkey, CASE WHEN pk IS NULL THEN o_orderstatus WHEN o_orderstatus = 'O' THEN 'F'
-            WHEN o_orderstatus = 'F' THEN 'P' ELSE 'O' END AS o_orderstatus,
-       CAST(CASE WHEN pk IS NULL THEN o_totalprice ELSE CAST(round(o_totalprice * 1.05, 2) AS DECIMAL(12,2)) END AS VARCHAR) AS o_totalprice,
-       CAST(o_orderdate AS VARCHAR) AS o_orderdate,
-       CASE WHEN pk IS NULL THEN o_orderpriority ELSE '1-URGENT' END AS o_orderpriority,
+    f"""WITH {_SOURCE}, said AS (
+  SELECT l_orderkey AS k, CASE WHEN min(l_linestatus) = max(l_linestatus) THEN min(l_linestatus) ELSE 'P' END AS st,
+         CAST(sum(CAST(l_extendedprice AS DECIMAL(12,2))) AS DECIMAL(12,2)) AS price
+  FROM lineitem GROUP BY ALL),
+judged AS (
+  SELECT *, k IS NOT NULL AND (st IS DISTINCT FROM o_orderstatus
+    OR price IS DISTINCT FROM CAST(o_totalprice AS DECIMAL(12,2))) AS differs
+  FROM source LEFT JOIN said ON k = o_orderkey)
+SELECT o_orderkey, o_custkey, CASE WHEN differs THEN st ELSE o_orderstatus END AS o_orderstatus,
+       CAST(CASE WHEN differs THEN price ELSE CAST(o_totalprice AS DECIMAL(12,2)) END AS VARCHAR) AS o_totalprice,
+       CAST(o_orderdate AS VARCHAR) AS o_orderdate, o_orderpriority,
        o_clerk, o_shippriority, o_comment, c_name, c_mktsegment, c_nationkey,
        CAST(c_acctbal AS VARCHAR) AS c_acctbal,
-       CASE WHEN pk IS NULL THEN row_version ELSE row_version + 1 END AS row_version,
-       epoch_us(CASE WHEN pk IS NULL THEN updated_at ELSE TIMESTAMP '2024-06-01 12:00:00' END) AS updated_at
-FROM source LEFT JOIN picked ON pk = o_orderkey""",
+       CASE WHEN differs THEN row_version + 1 ELSE row_version END AS row_version,
+       epoch_us(CASE WHEN differs THEN TIMESTAMP '2024-06-01 12:00:00' ELSE updated_at END) AS updated_at
+FROM judged""",
 )
 def versioned_update(spark: SparkSession, sf_dir: str) -> DataFrame:
-    keys = orders.table(spark, sf_dir, "orders").where(F.col("o_custkey") % 5 == 0)
-    updated = orders.versioned_update(
-        _source(spark, sf_dir), keys.select("o_orderkey"), moment(LOADED)
+    """Orders brought up to what their lines say."""
+    changes = orders.line_totals(orders.table(spark, sf_dir, "lineitem"))
+    updated = orders.merge_versions(
+        _source(spark, sf_dir), changes, key="o_orderkey", updated_at=moment(LOADED)
     )
     return _flat(updated)
 

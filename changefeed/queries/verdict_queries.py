@@ -217,6 +217,24 @@ def current_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.drop("source", "updated_at").withColumn("occurred_at", F.unix_micros("occurred_at"))
 
 
+@query("state_after_epochs", with_verdicts(_STATE))
+def state_after_epochs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same state after four epochs by offset, each with its lookups in the runs of the others."""
+    root = f"{shared_dir(spark)}/changefeed/epochs-{uuid.uuid4().hex}"
+    log = stage(change_log(spark, sf_dir), "log", path=f"{root}/log")
+    tables = Generations(spark, root).current()
+    step = log.agg(F.floor(F.max("offset") / 4) + 1).first()[0]
+    for epoch in range(4):
+        part = log.where((F.col("offset") >= epoch * step) & (F.col("offset") < (epoch + 1) * step))
+        resolve_epoch(part, tables, load_rules(), epoch)
+    newest = tables.versions.rows(3).groupBy("entity_type", "entity_key").agg(
+        F.max("entity_version").alias("entity_version")
+    )
+    # The runs know the version of every entity, or this has fewer rows than the SQL.
+    rows = tables.current_state().join(newest, newest.columns)
+    return rows.drop("source", "updated_at").withColumn("occurred_at", F.unix_micros("occurred_at"))
+
+
 @query(
     "merged_state",
     with_verdicts(_STATE),

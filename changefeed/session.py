@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,6 +27,10 @@ PREFERRED = {
     "spark.sql.maxConcurrentOutputFileWriters": "16",
 }
 
+# Row groups of staged copies. A task reads whole row groups, so a copy written by few tasks
+# still gives many of them work.
+ROW_GROUP_BYTES = 8 << 20
+
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 _LOCAL: dict[str, str] = {}
 
@@ -79,5 +84,30 @@ def stage(df: DataFrame, name: str, *, path: str | None = None) -> DataFrame:
     """
     spark = df.sparkSession
     target = path or f"{shared_dir(spark)}/changefeed/{name}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(target)
+    df.write.mode("overwrite").option("parquet.block.size", ROW_GROUP_BYTES).parquet(target)
     return spark.read.schema(df.schema).parquet(target)
+
+
+def _filesystem(spark: SparkSession, path: str) -> tuple[Any, Any]:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    filesystem, target = _filesystem(spark, path)
+    return bool(filesystem.exists(target))
+
+
+def numbered_folders(spark: SparkSession, path: str, prefix: str) -> set[int]:
+    """The numbers n of the folders ``prefix=n``; a listing, no Spark job."""
+    filesystem, target = _filesystem(spark, path)
+    if not filesystem.exists(target):
+        return set()
+    names = [status.getPath().getName() for status in filesystem.listStatus(target)]
+    start = f"{prefix}="
+    return {int(name[len(start) :]) for name in names if name.startswith(start)}
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    filesystem, target = _filesystem(spark, path)
+    filesystem.delete(target, True)

@@ -96,82 +96,38 @@ def seed_if_empty(rows: DataFrame, path: str, *, force: bool = False) -> bool:
     return True
 
 
-def _choose(number: Column, values: tuple[str, ...]) -> Column:
-    """values[number mod n]."""
-    place = F.pmod(number, F.lit(len(values))).cast("int")
-    return F.element_at(F.array(*[F.lit(value) for value in values]), place + 1)
-
-
-# Fixed values of the generated rows.
-STATUSES = ("O", "F", "P")
-PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
-SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
-
-
-def synthetic_orders(
-    numbers: DataFrame, *, number: str, key_offset: Column, loaded_at: Column
-) -> DataFrame:
-    """One arithmetic order per row of ``numbers``, which counts from 1."""
-    n = F.col(number).cast("bigint")
-    key = key_offset.cast("bigint") + n
-    customer = F.lit(1) + F.pmod(n * 7919, F.lit(150_000))
-    cents = F.pmod(n * 104_729, F.lit(50_000_000))
-    balance = F.pmod(n * 3571, F.lit(1_099_999))
-
-    def money(amount: Column, shift: str) -> Column:
-        scaled = (amount.cast("decimal(18,0)") / F.lit(100)).cast("decimal(12,2)")
-        return (F.lit(shift).cast("decimal(12,2)") + scaled).cast("decimal(12,2)")
-
-    start = F.to_date(F.lit("1992-01-01"))
-    return numbers.select(
-        key.alias("o_orderkey"),
-        customer.alias("o_custkey"),
-        _choose(n, STATUSES).alias("o_orderstatus"),
-        money(cents, "900").alias("o_totalprice"),
-        F.date_add(start, F.pmod(n * 31, F.lit(2405)).cast("int")).alias("o_orderdate"),
-        _choose(n, PRIORITIES).alias("o_orderpriority"),
-        _clerk(n).alias("o_clerk"),
-        F.lit(0).cast("bigint").alias("o_shippriority"),
-        F.concat(F.lit("synthetic order "), key.cast("string")).alias("o_comment"),
-        F.concat(F.lit("Customer#"), F.lpad(customer.cast("string"), 9, "0")).alias("c_name"),
-        _choose(n, SEGMENTS).alias("c_mktsegment"),
-        F.pmod(n, F.lit(25)).cast("int").alias("c_nationkey"),
-        money(balance, "-999.99").alias("c_acctbal"),
-        F.lit(1).cast("bigint").alias("row_version"),
-        loaded_at.alias("updated_at"),
-    )
-
-
 def sample_keys(df: DataFrame, key: str, count: int, seed: str) -> DataFrame:
     """``count`` keys in an order that looks random and repeats for one seed."""
     mixed = F.md5(F.concat(F.lit(seed), F.lit("|"), F.col(key).cast("string")))
     return df.select(key).orderBy(mixed, key).limit(count)
 
 
-def versioned_update(rows: DataFrame, keys: DataFrame, updated_at: Column) -> DataFrame:
-    """The table after an update of the listed keys: next status, 5 % on the price,
-    urgent, next version, new time. ``keys`` holds each key once."""
-    hit = F.col("_hit").isNotNull()
-    status = F.col("o_orderstatus")
-    next_status = (
-        F.when(status == "O", F.lit("F")).when(status == "F", F.lit("P")).otherwise(F.lit("O"))
+def line_totals(lines: DataFrame) -> DataFrame:
+    """What the lines of each order say: its status (that of all lines, or mixed) and its price."""
+    status = F.when(F.min("l_linestatus") == F.max("l_linestatus"), F.min("l_linestatus")).otherwise(F.lit("P"))
+    price = F.sum(F.col("l_extendedprice").cast("decimal(12,2)"))
+    return lines.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
+        status.alias("o_orderstatus"), price.cast("decimal(12,2)").alias("o_totalprice")
     )
-    price = F.round(F.col("o_totalprice") * F.lit("1.05").cast("decimal(3,2)"), 2)
-    changed = {
-        "o_orderstatus": next_status,
-        "o_totalprice": price.cast("decimal(12,2)"),
-        "o_orderpriority": F.lit("1-URGENT"),
-        "row_version": F.col("row_version") + 1,
-        "updated_at": updated_at,
-    }
-    marked = rows.join(
-        keys.select("o_orderkey", F.lit(True).alias("_hit")), "o_orderkey", "left"
-    )
-    return marked.select(
+
+
+def merge_versions(rows: DataFrame, changes: DataFrame, *, key: str, updated_at: Column) -> DataFrame:
+    """``rows`` with the values of ``changes``, which holds each key at most once.
+
+    A row gets the next version and the new time only if a value differs; rows without a
+    change, and changes that say what the row says, leave it as it is.
+    """
+    values = [name for name in changes.columns if name != key]
+    new = changes.select(key, F.struct(*values).alias("_new"))
+    differs = F.lit(False)
+    for name in values:
+        differs = differs | ~F.col(name).eqNullSafe(F.col(f"_new.{name}"))
+    differs = F.col("_new").isNotNull() & differs
+    becomes = {name: F.col(f"_new.{name}") for name in values}
+    becomes |= {"row_version": F.col("row_version") + 1, "updated_at": updated_at}
+    return rows.join(new, key, "left").select(
         *[
-            F.when(hit, changed[name]).otherwise(F.col(name)).alias(name)
-            if name in changed
-            else F.col(name)
+            F.when(differs, becomes[name]).otherwise(F.col(name)).alias(name) if name in becomes else F.col(name)
             for name in rows.columns
         ]
     )

@@ -8,7 +8,6 @@ before N, so computing N again gives the same tables.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +23,8 @@ from changefeed.schemas import (
     STATE,
     ddl,
 )
+from changefeed.session import delete_path, numbered_folders, path_exists
+from changefeed.streaming.runs import Runs
 
 _ENTITY = ["entity_type", "entity_key"]
 
@@ -41,6 +42,18 @@ class Tables:
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark = spark
         self.root = root.rstrip("/")
+        index = lambda name, columns, keys, **more: Runs(
+            spark, f"{self.root}/index/{name}", columns, keys, **more
+        )
+        # What an epoch looks up: ids that are logged, versions of entities, quarantined ids.
+        self.logged = index("logged", {"event_id": "string", "fingerprint": "string"}, ("event_id",))
+        self.versions = index(
+            "versions",
+            {"entity_type": "string", "entity_key": "string", "entity_version": "bigint"},
+            ("entity_type", "entity_key"),
+            newest="entity_version",
+        )
+        self.quarantined = index("quarantined", {"quarantine_id": "string"}, ("quarantine_id",))
 
     def path(self, table: str, epoch: int | None = None) -> str:
         folder = f"{self.root}/{table}"
@@ -60,6 +73,11 @@ class Tables:
             writer = writer.partitionBy(*partitions)
         writer.parquet(self.path(table, epoch))
 
+    def written(self, table: str, epoch: int) -> DataFrame:
+        """What an epoch that is not committed yet wrote."""
+        columns = {"state": STATE, "quarantine": QUARANTINE}[table]
+        return self.spark.read.schema(ddl(columns)).parquet(self.path(table, epoch))
+
     def commit(
         self, epoch: int, *, next_seq: int, records: int, streams: dict[str, int] | None = None
     ) -> None:
@@ -110,9 +128,8 @@ class Tables:
         """The accepted events. ``processed_at`` is the commit time of their epoch."""
         end = self._end(before)
         rows = self.records(end).where(F.col("verdict") == ACCEPTED)
-        # One row per epoch.
         times = self.commits().select("epoch", F.col("committed_at").alias("processed_at"))
-        return rows.join(F.broadcast(times), "epoch").select(*EVENT_LOG_COLUMNS)
+        return rows.join(times, "epoch").select(*EVENT_LOG_COLUMNS)
 
     def logged_fingerprints(self, before: int | None = None) -> DataFrame:
         return (
@@ -173,6 +190,16 @@ class Tables:
         """Version per entity, possibly several rows; three columns are read."""
         return self._state_rows(before).select(*_ENTITY, "entity_version")
 
+    def tidy(self, *, every: int = 16) -> None:
+        """Drop what the last epoch staged and what only old readers needed; every so many
+        epochs fold the changes of the state into a snapshot."""
+        epoch = self.last_commit().epoch
+        delete_path(self.spark, f"{self.root}/staging")
+        for runs in (self.logged, self.versions, self.quarantined):
+            runs.retire(epoch)
+        if epoch % every == every - 1:
+            self.compact_state()
+
     def compact_state(self) -> None:
         """Fold the changes into a snapshot, so that reads start from there."""
         epoch = self.last_commit().epoch
@@ -213,26 +240,14 @@ class Generations:
             number += 1  # left over from a rebuild that did not finish
         return number
 
+    def retire(self, *, keep: int = 1) -> None:
+        """Delete the generations before the current one, but for the last ``keep`` of them,
+        which readers that began before the switch may still use."""
+        current = self.current_number()
+        for number in numbered_folders(self.spark, self.root, "generation"):
+            if number < current - keep:
+                delete_path(self.spark, f"{self.root}/generation={number}")
+
     def switch_to(self, number: int) -> None:
         row = self.spark.range(1).select(F.current_timestamp().alias("switched_at"))
         row.coalesce(1).write.mode("error").parquet(f"{self.root}/current/generation={number}")
-
-
-def _filesystem(spark: SparkSession, path: str) -> tuple[Any, Any]:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    filesystem, target = _filesystem(spark, path)
-    return bool(filesystem.exists(target))
-
-
-def numbered_folders(spark: SparkSession, path: str, prefix: str) -> set[int]:
-    """The numbers n of the folders ``prefix=n``; a listing, no Spark job."""
-    filesystem, target = _filesystem(spark, path)
-    if not filesystem.exists(target):
-        return set()
-    names = [status.getPath().getName() for status in filesystem.listStatus(target)]
-    start = f"{prefix}="
-    return {int(name[len(start) :]) for name in names if name.startswith(start)}
