@@ -1,11 +1,13 @@
 """URL filters by propagation over the graph of hosts that link to each other.
 
 Rules allow or block a host, its subdomains and a path prefix. Pages that a rule decides
-are the seeds: trust starts at hosts with allowed pages and flows along links, distrust
-starts at hosts with blocked pages and flows against them (who links to bad hosts is
-suspect). Both are personalised PageRanks, computed together as iterated joins and sums
-over host edges; a host whose distrust passes a multiple of its trust is blocked, for the
-pages that no rule decides.
+are the seeds: trust starts at hosts by the share of their pages that is allowed and flows
+along links, distrust starts by the share that is blocked and flows against them (who links to
+bad hosts is suspect). Both are personalised PageRanks, computed together as iterated joins
+and sums over host edges. Beside each runs the PageRank that starts at every host alike; of
+what reaches a host, the part that came from seeds is its trust or distrust, from 0 to 1. A
+host is blocked, for the pages that no rule decides, if most of what reaches it against the
+links is distrust, and more than its trust: a mixed host, or one bad link, is not enough.
 """
 
 from __future__ import annotations
@@ -19,11 +21,14 @@ from pyspark.sql import functions as F
 from changefeed.llm.common import ascii_lower, written
 
 DAMPING = 0.85
-ROUNDS = 12
+# Rounds end when they move less than this part of all mass, or after so many.
+TOLERANCE, MOST_ROUNDS = 1e-4, 100
 # Rounds between written copies; a longer plan is slow to make and to repair.
 ROUNDS_A_COPY = 4
-# A host is blocked if distrust exceeds this many times its trust.
-MAX_DISTRUST = 1.0
+# A host is blocked if its distrust, from 0 to 1, exceeds this and its trust.
+MAX_DISTRUST = 0.5
+# The links of one host may be a third of all: they meet its mass in so many tasks.
+SALTS = 8
 
 
 @dataclass(frozen=True)
@@ -85,8 +90,13 @@ def ruled(pages: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     )
 
 
+def node(host: Column) -> Column:
+    """A host in the graph: without user and port, which links may or may not name."""
+    return ascii_lower(F.regexp_replace(host, r"^.*@|:\d*$", ""))
+
+
 def host_edges(pages: DataFrame) -> DataFrame:
-    """Links between different hosts: ``src``, ``dst``, number of links.
+    """Links between different hosts: ``src``, ``dst``, number of links; hosts as nodes.
 
     Links are absolute or scheme-relative ``href`` values; relative ones stay on the host.
     """
@@ -95,9 +105,9 @@ def host_edges(pages: DataFrame) -> DataFrame:
         F.lit(r"(?i)\bhref\s*=\s*[\"']?(?:https?:)?//([^/?#\"'\s>]+)"),
         F.lit(1),
     )
-    links = pages.select(url_host(F.col("url")).alias("src"), F.explode(targets).alias("dst"))
+    links = pages.select(node(url_host(F.col("url"))).alias("src"), F.explode(targets).alias("dst"))
     return (
-        links.withColumn("dst", ascii_lower(F.regexp_replace("dst", r"^.*@|:\d*$", "")))
+        links.withColumn("dst", node(F.col("dst")))
         .where((F.col("src") != "") & (F.col("dst") != "") & (F.col("src") != F.col("dst")))
         .groupBy("src", "dst")
         .agg(F.count(F.lit(1)).alias("links"))
@@ -105,49 +115,61 @@ def host_edges(pages: DataFrame) -> DataFrame:
 
 
 def propagate(
-    seeds: DataFrame, edges: DataFrame, *, damping: float = DAMPING, rounds: int = ROUNDS
+    seeds: DataFrame, edges: DataFrame, *, damping: float = DAMPING, tolerance: float = TOLERANCE
 ) -> DataFrame:
-    """Trust and distrust of hosts: ``host``, ``trust``, ``distrust``.
+    """Trust and distrust of hosts, from 0 to 1: ``host``, ``trust``, ``distrust``.
 
-    ``seeds`` has ``host``, ``allowed`` and ``blocked`` (numbers of pages). One table holds
-    both flows: an edge is a step from ``src`` to ``dst`` for trust and back for distrust.
-    Mass that reaches a host without onward links is lost, which lowers all hosts below
-    it alike. Hosts that no flow reaches are absent.
+    ``seeds`` has every ``host`` that has pages, with the shares ``allowed`` and ``blocked`` of
+    them. One table holds four flows: an edge is a step from ``src`` to ``dst`` for trust and
+    its base, and back for distrust and its base. Hosts that are only linked to start with the
+    bases' mass alone. Mass that reaches a host without onward links is lost, in a flow and in
+    its base alike.
     """
     edges = written(edges, "host-edges")
-    ways = edges.select(F.lit("trust").alias("flow"), F.col("src").alias("at"), F.col("dst").alias("to"), "links")
-    ways = ways.unionByName(
-        edges.select(F.lit("distrust").alias("flow"), F.col("dst").alias("at"), F.col("src").alias("to"), "links")
-    )
+    ahead = edges.select(F.explode(F.array(F.lit("trust"), F.lit("onward"))).alias("flow"), F.col("src").alias("at"), F.col("dst").alias("to"), "links")
+    back = edges.select(F.explode(F.array(F.lit("distrust"), F.lit("back"))).alias("flow"), F.col("dst").alias("at"), F.col("src").alias("to"), "links")
+    ways = ahead.unionByName(back).withColumn("salt", F.pmod(F.xxhash64("to"), F.lit(SALTS)).cast("int"))
     out = ways.groupBy("flow", "at").agg(F.sum("links").alias("all_links"))
+    out = out.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     steps = written(
-        ways.join(out, ["flow", "at"]).select("flow", "at", "to", (F.col("links") / F.col("all_links")).alias("share")),
+        ways.join(out, ["flow", "at", "salt"]).select(
+            "flow", "at", "salt", "to", (F.col("links") / F.col("all_links")).alias("share")
+        ),
         "host-steps",
     )
-    total = seeds.agg(F.sum("allowed").alias("a"), F.sum("blocked").alias("b")).first()
-    start = seeds.select(
-        F.explode(
-            F.array(
-                F.struct(F.lit("trust").alias("flow"), (F.col("allowed") / F.lit(float(total["a"] or 1))).alias("mass")),
-                F.struct(F.lit("distrust").alias("flow"), (F.col("blocked") / F.lit(float(total["b"] or 1))).alias("mass")),
-            )
-        ).alias("s"),
+    hosts = seeds.select("host", "allowed", "blocked").unionByName(
+        edges.select(F.explode(F.array("src", "dst")).alias("host"), F.lit(0.0).alias("allowed"), F.lit(0.0).alias("blocked"))
+    ).groupBy("host").agg(F.max("allowed").alias("allowed"), F.max("blocked").alias("blocked"))
+    flows = {"trust": F.col("allowed"), "onward": F.lit(1.0), "distrust": F.col("blocked"), "back": F.lit(1.0)}
+    start = hosts.select(
+        F.explode(F.array(*(F.struct(F.lit(f).alias("flow"), m.alias("mass")) for f, m in flows.items()))).alias("s"),
         F.col("host").alias("at"),
     ).select("s.flow", "at", "s.mass")
     start = written(start.where("mass > 0"), "host-seeds")
+    total = start.agg(F.sum("mass")).first()[0] or 0.0
     mass = start
-    linked = not steps.isEmpty()
-    for number in range(1, rounds + 1 if linked else 1):
-        moved = mass.join(steps, ["flow", "at"]).select(
+    for number in range(1, MOST_ROUNDS + 1 if total and not steps.isEmpty() else 1):
+        salted = mass.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        moved = salted.join(steps, ["flow", "at", "salt"]).select(
             "flow", F.col("to").alias("at"), (damping * F.col("mass") * F.col("share")).alias("mass")
         )
         again = start.withColumn("mass", (1 - damping) * F.col("mass"))
-        mass = moved.unionByName(again).groupBy("flow", "at").agg(F.sum("mass").alias("mass"))
-        if number % ROUNDS_A_COPY == 0:
+        before, mass = mass, moved.unionByName(again).groupBy("flow", "at").agg(F.sum("mass").alias("mass"))
+        if number % ROUNDS_A_COPY == 1:
             mass = written(mass, "host-mass")
-    return mass.groupBy(F.col("at").alias("host")).agg(
-        F.sum(F.when(F.col("flow") == "trust", F.col("mass")).otherwise(0.0)).alias("trust"),
-        F.sum(F.when(F.col("flow") == "distrust", F.col("mass")).otherwise(0.0)).alias("distrust"),
+            if number == 1:
+                continue
+            change = mass.unionByName(before.withColumn("mass", -F.col("mass"))).groupBy("flow", "at").agg(
+                F.abs(F.sum("mass")).alias("moved")
+            )
+            if change.agg(F.sum("moved")).first()[0] <= tolerance * total:
+                break
+    of = lambda flow: F.sum(F.when(F.col("flow") == flow, F.col("mass")).otherwise(0.0))
+    sums = mass.groupBy(F.col("at").alias("host")).agg(*(of(f).alias(f) for f in flows))
+    return sums.select(
+        "host",
+        (F.col("trust") / F.col("onward")).alias("trust"),
+        (F.col("distrust") / F.col("back")).alias("distrust"),
     )
 
 
@@ -157,21 +179,24 @@ def judge(
     """A verdict for every page: the rule's, else that of its host.
 
     A null url, or one without ``://``, has an empty host and path, fits no rule and is
-    allowed, as is any host that no flow reached. Repeated pages are judged alike. No
-    pages give no rows. Columns other than ``page_id``, ``url`` and ``html`` are ignored.
+    allowed, as is any host that no distrust reached. Repeated pages are judged alike and
+    count each. No pages give no rows. Columns other than ``page_id``, ``url`` and ``html``
+    are ignored.
     """
     judged = ruled(pages, rules)
-    seeds = judged.where(F.col("said").isNotNull() & (F.col("host") != "")).groupBy("host").agg(
-        F.count_if(F.col("said") == "allow").alias("allowed"), F.count_if(F.col("said") == "block").alias("blocked")
+    of = lambda verdict: F.count_if(F.col("said").eqNullSafe(verdict)) / F.count(F.lit(1))
+    seeds = judged.where(F.col("host") != "").groupBy(node(F.col("host")).alias("host")).agg(
+        of("allow").alias("allowed"), of("block").alias("blocked")
     )
     scores = propagate(written(seeds, "url-seeds"), host_edges(pages)).withColumnRenamed("host", "__host")
     trust, distrust = (F.coalesce(F.col(c), F.lit(0.0)) for c in ("trust", "distrust"))
-    return judged.join(scores, F.col("host") == F.col("__host"), "left").select(
+    suspect = (distrust > max_distrust) & (distrust > trust)
+    return judged.join(scores, node(F.col("host")) == F.col("__host"), "left").select(
         "page_id",
         "host",
         "path",
         "rule",
-        F.coalesce("said", F.when(distrust > max_distrust * trust, "block").otherwise("allow")).alias("verdict"),
+        F.coalesce("said", F.when(suspect, "block").otherwise("allow")).alias("verdict"),
         trust.alias("trust"),
         distrust.alias("distrust"),
     )
