@@ -23,12 +23,26 @@ def first_line(message: Column) -> Column:
     return F.substring_index(message, "\n", 1)
 
 
+# Characters that do not print: control, format, unassigned, private ones, separators but the space.
+UNPRINTED = r"[\p{C}\p{Z}&&[^ ]]"
+
+
+def _escaped(char: Column) -> Column:
+    """A character that does not print, by its code point."""
+    code = F.ltrim(F.lower(F.hex(F.encode(char, "UTF-32"))), F.lit("0"))
+    size = F.when(F.length(code) <= 2, 2).when(F.length(code) <= 4, 4).otherwise(8)
+    mark = F.when(size == 2, "\\x").when(size == 4, "\\u").otherwise("\\U")
+    named = F.when(char == "\n", "\\n").when(char == "\r", "\\r").when(char == "\t", "\\t")
+    return F.coalesce(named, F.concat(mark, F.lpad(code, size, F.lit("0"))))
+
+
 def python_repr(text: Column) -> Column:
     """A string value the way rule messages quote it."""
     single, double = F.contains(text, F.lit("'")), F.contains(text, F.lit('"'))
     body = F.replace(text, F.lit("\\"), F.lit("\\\\"))
-    for char, shown in (("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
-        body = F.replace(body, F.lit(char), F.lit(shown))
+    chars = F.regexp_extract_all(body, F.lit("(?s)."), F.lit(0))
+    shown = F.transform(chars, lambda c: F.when(c.rlike(UNPRINTED), _escaped(c)).otherwise(c))
+    body = F.when(text.rlike(UNPRINTED), F.array_join(shown, "")).otherwise(body)
     inner = F.when(double, F.lit("\\'")).otherwise(F.lit("'"))
     quote = F.when(single & ~double, F.lit('"')).otherwise(F.lit("'"))
     return F.concat(quote, F.replace(body, F.lit("'"), inner), quote)

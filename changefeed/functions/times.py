@@ -11,12 +11,12 @@ _EPOCH = datetime(1970, 1, 1, tzinfo=UTC)
 
 OFFSET_TIMESTAMP = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{1,9})?(Z|[+-]\d{2}:\d{2})$"
 NAIVE_TIMESTAMP = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?$"
-ISO_DATE = r"^\d{4}-\d{2}-\d{2}$"
-BASIC_DATE = r"^\d{8}$"
-ISO_TIMESTAMP = (
-    r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?(Z|[+-]\d{2}(:?\d{2})?)?$"
-)
-HAS_OFFSET = r"(Z|[+-]\d{2}(:?\d{2})?)$"
+PLAIN_DATE = r"^\d{4}-\d{2}-\d{2}$"
+# ISO 8601: calendar and week dates; hours, with minutes, with seconds, with a fraction; each in
+# the extended form with its marks or in the basic form without.
+ISO_DATE = r"\d{4}-\d{2}-\d{2}|\d{8}|\d{4}-W\d{2}(?:-\d)?|\d{4}W\d{2}\d?"
+_CLOCK = r"\d{2}(?::\d{2}(?::\d{2}(?:[.,]\d+)?)?)?|\d{2}(?:\d{2}(?:\d{2}(?:[.,]\d+)?)?)?"
+ISO_TIMESTAMP = rf"^({ISO_DATE})[T ]({_CLOCK})(Z|[+-](?:{_CLOCK}))?$"
 
 
 def moment(value: datetime) -> Column:
@@ -55,21 +55,45 @@ def parse_offset_timestamp(text: Column) -> Column:
     return F.when(text.rlike(OFFSET_TIMESTAMP), text.try_cast("timestamp"))
 
 
+def _day(text: Column) -> Column:
+    """The day a text in the form of ``ISO_DATE`` names; null if there is no such day."""
+    plain = F.replace(text, F.lit("-"), F.lit(""))
+    year = F.substring(plain, 1, 4)
+    calendar = F.concat_ws("-", year, F.substring(plain, 5, 2), F.substring(plain, 7, 2)).try_cast("date")
+    # The first week has January 4 in it; a week without a day starts with its Monday.
+    fourth = F.concat(year, F.lit("-01-04")).try_cast("date")
+    week = F.substring(plain, 6, 2).try_cast("int")
+    day = F.coalesce(F.nullif(F.substring(plain, 8, 1), F.lit("")), F.lit("1")).try_cast("int")
+    of_week = F.date_add(F.date_sub(fourth, F.weekday(fourth)), (week - 1) * 7 + day - 1)
+    exists = (week >= 1) & day.between(1, 7) & (F.extract(F.lit("YEAROFWEEK"), of_week) == year.try_cast("int"))
+    found = F.when(F.contains(text, F.lit("W")), F.when(exists, of_week)).otherwise(calendar)
+    return F.when(year != "0000", found)
+
+
+def _clock(text: Column) -> Column:
+    """Microseconds of a text in the form of ``_CLOCK``; null past 23:59:59. More than six
+    digits of a fraction are cut."""
+    plain = F.regexp_replace(text, "[:.,]", "")
+    part = lambda at: F.coalesce(F.nullif(F.substring(plain, at, 2), F.lit("")), F.lit("0")).try_cast("bigint")
+    hour, minute, second = part(1), part(3), part(5)
+    fraction = F.rpad(F.substring(plain, 7, 6), 6, "0").try_cast("bigint")
+    fits = (hour <= 23) & (minute <= 59) & (second <= 59)
+    return F.when(fits, ((hour * 60 + minute) * 60 + second) * 1_000_000 + fraction)
+
+
 def parse_iso_date(text: Column) -> Column:
+    """A calendar or week date in extended or basic form, else null."""
     # The shape comes first: a plain cast also takes 'today', 'now' and '2026'.
-    return F.when(text.rlike(ISO_DATE), text.try_cast("date")).when(
-        text.rlike(BASIC_DATE),
-        F.concat_ws(
-            "-", F.substring(text, 1, 4), F.substring(text, 5, 2), F.substring(text, 7, 2)
-        ).try_cast("date"),
-    )
+    return F.when(text.rlike(f"^(?:{ISO_DATE})$"), _day(text))
 
 
 def parse_iso_timestamp(text: Column) -> Column:
-    """An ISO timestamp; one without an offset is UTC."""
-    time_part = F.substr(text, F.lit(11))
-    zoned = F.when(time_part.rlike(HAS_OFFSET), text).otherwise(F.concat(text, F.lit("Z")))
-    return F.when(text.rlike(ISO_TIMESTAMP), zoned.try_cast("timestamp"))
+    """An ISO date and time of day, else null; one without an offset is UTC."""
+    day, clock, offset = (F.regexp_extract(text, ISO_TIMESTAMP, i) for i in (1, 2, 3))
+    shift = _clock(F.substring(offset, 2, 32))
+    shift = F.when(offset.isin("", "Z"), F.lit(0)).when(F.startswith(offset, F.lit("-")), -shift).otherwise(shift)
+    start = F.unix_date(_day(day)).cast("bigint") * 86_400_000_000
+    return F.when(text.rlike(ISO_TIMESTAMP), F.timestamp_micros(start + _clock(clock) - shift))
 
 
 def seconds_between(later: Column, earlier: Column) -> Column:

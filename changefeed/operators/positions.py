@@ -28,18 +28,19 @@ def order_block(order: Column) -> Column:
 
 
 def partition_spans(records: DataFrame, base: int = 0) -> DataFrame:
-    """First sequence number of each log partition: one row per partition.
+    """First sequence number of each partition of each topic: one row per partition.
 
-    Every partition gets as many numbers as the offsets it spans, in partition
-    order, starting after ``base``.
+    Every partition gets as many numbers as the offsets it spans, in the order of topic
+    and partition, starting after ``base``.
     """
-    spans = records.groupBy("partition").agg(
+    spans = records.groupBy("topic", "partition").agg(
         F.min("offset").alias("first_offset"),
         (F.max("offset") - F.min("offset") + 1).alias("span"),
     )
-    # One row per partition (at most MAX_PARTITIONS): a single task is enough.
-    before = Window.orderBy("partition").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per partition (at most MAX_PARTITIONS a topic): a single task is enough.
+    before = Window.orderBy("topic", "partition").rowsBetween(Window.unboundedPreceding, -1)
     return spans.select(
+        "topic",
         "partition",
         "first_offset",
         (F.lit(base) + F.coalesce(F.sum("span").over(before), F.lit(0)) + 1).alias("first_seq"),
@@ -48,14 +49,17 @@ def partition_spans(records: DataFrame, base: int = 0) -> DataFrame:
 
 
 def with_sequence(records: DataFrame, spans: DataFrame, into: str = "log_seq") -> DataFrame:
-    """Number the records in log order.
+    """Number the records in the order of topic, partition and offset.
 
     Like an identity column the numbers are unique and ascending but may have
     gaps. They follow from the offset, so they need neither a sort nor a rank and
     are the same when a lost task runs again.
     """
-    starts = F.broadcast(spans.select("partition", "first_offset", "first_seq"))
-    return records.join(starts, "partition").select(
+    starts = spans.select(
+        F.col("topic").alias("_topic"), F.col("partition").alias("_partition"), "first_offset", "first_seq"
+    )
+    same = F.col("topic").eqNullSafe(F.col("_topic")) & (F.col("partition") == F.col("_partition"))
+    return records.join(F.broadcast(starts), same).select(
         *[F.col(name) for name in records.columns],
         (F.col("first_seq") + F.col("offset") - F.col("first_offset")).alias(into),
     )

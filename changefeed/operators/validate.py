@@ -140,7 +140,7 @@ class _Document:
                 error("datetime_type", path, "Input should be a valid datetime"),
             ),
             (
-                unreadable & (text.rlike(times.NAIVE_TIMESTAMP) | text.rlike(times.ISO_DATE)),
+                unreadable & (text.rlike(times.NAIVE_TIMESTAMP) | text.rlike(times.PLAIN_DATE)),
                 error("timezone_aware", path, "Input should have timezone info"),
             ),
             (unreadable, error("datetime_parsing", path, "Input should be a valid datetime")),

@@ -57,10 +57,11 @@ def resolve_epoch(
     count = examined.count()
     first_epoch = last.epoch < 0
     ids = examined.select("event_id").where(F.col("is_event") & F.col("event_id").isNotNull())
-    judged = resolve.judge(
-        examined, None if first_epoch else tables.logged.matching(ids, epoch - 1)
+    # The sequence tells the order of all topics' records; that of one topic has no other.
+    numbered = positions.with_sequence(examined, spans).withColumn("ord", F.col("log_seq"))
+    numbered = resolve.judge(
+        numbered, None if first_epoch else tables.logged.matching(ids, epoch - 1)
     )
-    numbered = positions.with_sequence(judged, spans)
     tables.write(_stored(numbered), "records", epoch, "verdict")
     written = tables.records(epoch + 1).where(F.col("epoch") == epoch)
 

@@ -96,7 +96,7 @@ def rule_allowed_values(spark: SparkSession, sf_dir: str) -> DataFrame:
         "slot <> 6 AND NOT regexp_full_match(p_comment, 'v[12]')",
     )
     + " UNION ALL "
-    + "SELECT part, off, 'value ''bad' || chr(0) || 'comment'' does not match ''v[12]''' "
+    + "SELECT part, off, 'value ''bad\\x00comment'' does not match ''v[12]''' "
     "FROM order_values WHERE slot = 6",
 )
 def rule_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:

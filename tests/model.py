@@ -36,8 +36,8 @@ def payload(key: int, **changes: Any) -> dict[str, Any]:
 
 
 def event(key: int = 1, version: int = 1, **changes: Any) -> dict[str, Any]:
-    occurred = changes.pop("occurred", T0 + timedelta(seconds=version))
-    captured = changes.pop("captured", occurred + timedelta(seconds=5))
+    occurred = changes.pop("occurred", T0 + timedelta(minutes=7 * version, hours=key % 11))
+    captured = changes.pop("captured", occurred + timedelta(minutes=3, seconds=20))
     entity_type = changes.pop("entity_type", "order")
     source = changes.pop("source", SOURCE)
     return {

@@ -3,7 +3,7 @@ from __future__ import annotations
 import base64
 import json
 import uuid
-from datetime import date, datetime
+from datetime import UTC, date, datetime
 from decimal import Decimal
 
 import pytest
@@ -39,7 +39,8 @@ def test_readable_text_replaces_what_text_cannot_hold(spark):
 
 
 def test_python_repr_quotes_as_messages_do(spark):
-    values = ["X", "it's", 'say "x"', "both ' and \"", "line\nbreak\\", ""]
+    values = ["X", "it's", 'say "x"', "both ' and \"", "line\nbreak\\", "", "\x00\x1b\x7f\x85\xa0", "a\u200bb\u2028",
+              "\U000e0001 𝒳é", "\tt\r", "\xad'"]
     df = spark.createDataFrame([(v,) for v in values], "v string")
     assert [r[0] for r in df.select(text.python_repr(F.col("v"))).collect()] == [
         repr(v) for v in values
@@ -69,6 +70,33 @@ def test_dates_are_gated_by_their_shape(spark):
     assert found == [date(1996, 3, 1), None, None, None, date(1996, 3, 1), None]
 
 
+DAYS = ["2025-W01-1", "2025W011", "2025-W01", "2020-W53-7", "2021-W53-1", "2025-W00-1", "2025-W01-8", "2024-12-30",
+        "0000-01-01", "2025-W1", "20250101", "2025-0101"]
+MOMENTS = ["2026-01-01T00", "20250101T000000", "2025-W01-1T10:30", "2025-02-28T235959.1234567", "2025-02-28 23:59:59,5Z",
+           "2025-02-28T12:00+05:30", "2025-02-28T12:00-0030", "2025-02-28T12+01:02:03", "2025-02-28T24:01", "2025-02-28T12:0",
+           "2025-02-28T1200:30", "2025-02-30T12:00", "2025-02-28T", "x", "2025W01T10", "2025-02-28T12:60"]
+
+
+def test_iso_forms_are_read_as_the_standard_library_reads_them(spark):
+    def read(parse, value):
+        try:
+            return parse(value)
+        except ValueError:
+            return None
+
+    df = spark.createDataFrame([(v,) for v in DAYS], "v string").select("v", times.parse_iso_date(F.col("v")).alias("d"))
+    assert {r["v"]: r["d"] for r in df.collect()} == {v: read(date.fromisoformat, v) for v in DAYS}
+
+    def utc(value):
+        moment = datetime.fromisoformat(value)
+        return (moment if moment.tzinfo else moment.replace(tzinfo=UTC)).timestamp()
+
+    found = spark.createDataFrame([(v,) for v in MOMENTS], "v string").select(
+        "v", F.unix_micros(times.parse_iso_timestamp(F.col("v"))).alias("t"))
+    got = {r["v"]: None if r["t"] is None else r["t"] / 1e6 for r in found.collect()}
+    assert got == {v: read(utc, v) for v in MOMENTS}
+
+
 def test_payload_types(spark):
     df = spark.createDataFrame(
         [(Decimal("1234.50"), Decimal("-0.01"), date(1995, 3, 1), datetime(2026, 1, 1, 8, 30),

@@ -226,3 +226,30 @@ def test_state_compaction_changes_nothing(spark, tables):
     assert epoch(spark, tables, feed(model.event(1, 2), model.event(2, 3), start=9)) == {
         "applied": 1, "duplicate": 1}
     assert tables.current_state().agg(F.sum("entity_version")).first()[0] == 5
+
+
+def test_two_topics_share_no_sequence_number(spark, tables):
+    records = feed(*(model.event(k) for k in range(1, 21)))
+    other = [("other", *r[1:]) for r in feed(*(model.event(k) for k in range(11, 31)))]
+    assert epoch(spark, tables, [*records, *other]) == {"applied": 30, "duplicate": 10}
+    rows = tables.records().select("topic", "log_seq").collect()
+    assert len({r["log_seq"] for r in rows}) == len(rows) == 40
+    # Topics are taken in their order, so the first one's copies are duplicates.
+    assert {r["topic"] for r in tables.records().where("verdict = 'duplicate'").collect()} == {"test"}
+
+
+def test_an_epoch_opens_the_runs_of_its_own_buckets(spark, tables, monkeypatch):
+    epoch(spark, tables, feed(*(model.event(k) for k in range(1, 60))))
+    opened = []
+    read = type(tables.logged)._read
+
+    def noted(runs, paths):
+        listed = list(paths)
+        opened.append((runs.root.rsplit("/", 1)[1], len(listed)))
+        return read(runs, listed)
+
+    monkeypatch.setattr(type(tables.logged), "_read", noted)
+    assert epoch(spark, tables, feed(model.event(5), model.event(5, 2), start=100)) == {"applied": 1, "duplicate": 1}
+    assert max(n for name, n in opened if name == "logged") <= 2
+    assert max(n for name, n in opened if name == "versions") == 1
+    assert not tables.exists(f"{tables.root}/staging")

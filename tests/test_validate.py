@@ -100,7 +100,7 @@ def test_unreadable_values(spark):
 def test_valid_spellings_are_accepted(spark):
     plain = model.event()
     upper = {**plain, "event_id": plain["event_id"].upper(), "batch_id": plain["batch_id"].upper()}
-    shifted = {**plain, "occurred_at": "2025-11-03T09:45:01+02:00"}
+    shifted = {**plain, "occurred_at": "2025-11-03T10:52:00+02:00"}
     escaped = json.dumps(model.event(key=2, payload=model.payload(2, o_comment="é\\\"\n😀")))
     pretty = json.dumps(plain, indent=2)
     repeated = json.dumps(plain)[:-1] + ', "entity_version": 1}'
