@@ -3,7 +3,7 @@
 Texts are dealt out by byte length and content hash. A task inserts the full byte strings
 it gets into a compressed radix trie whose terminal nodes hold how many rows ended there
 and the identifier that owns the text. The same step runs before the shuffle, so a text
-that a third of all rows share leaves each task once. When the labels of a trie pass the
+that a third of all rows share leaves each task once. When a trie's labels and nodes pass the
 memory bound, its heaviest subtree is given out and forgotten ("spilled"); since counts
 add and owners compare, a later step merges what was given out in parts.
 """
@@ -19,8 +19,11 @@ from pyspark.sql import functions as F
 
 from changefeed.llm.common import ascii_lower
 
-# Bytes of labels that a trie holds before it gives out a subtree.
-TRIE_BYTES = 64 << 20
+# Memory that a trie holds, labels and nodes, before it gives out a subtree.
+TRIE_BYTES = 128 << 20
+# What a node takes beside the bytes of its label: the object, the table of its children
+# (a branch of two or more takes 200 and more), the byte string's head, owner and count.
+NODE_BYTES = 320
 
 
 class Node:
@@ -28,7 +31,7 @@ class Node:
 
     def __init__(self, label: bytes) -> None:
         self.label = label
-        self.children: dict[int, Node] = {}
+        self.children: dict[int, Node] | None = None
         self.rows = 0
         self.owner: int | None = None
 
@@ -54,10 +57,12 @@ class Trie:
     def insert(self, text: bytes, owner: int | None, rows: int) -> None:
         node, at = self.root, 0
         while at < len(text):
-            child = node.children.get(text[at])
+            child = node.children.get(text[at]) if node.children else None
             if child is None:
-                child = node.children[text[at]] = Node(text[at:])
-                self.bytes += len(text) - at
+                child = Node(text[at:])
+                node.children = node.children or {}
+                node.children[text[at]] = child
+                self.bytes += len(text) - at + NODE_BYTES
                 node, at = child, len(text)
                 break
             if text.startswith(child.label, at):
@@ -66,8 +71,9 @@ class Trie:
             common = shared_length(child.label, text[at : at + len(child.label)])
             fork = Node(child.label[:common])
             child.label = child.label[common:]
-            fork.children[child.label[0]] = child
+            fork.children = {child.label[0]: child}
             node.children[text[at]] = fork
+            self.bytes += NODE_BYTES
             node, at = fork, at + common
         node.rows += rows
         if owner is not None:
@@ -81,7 +87,7 @@ class Trie:
             text = before + node.label
             if node.rows:
                 yield text, node.owner, node.rows
-            stack.extend((child, text) for child in node.children.values())
+            stack.extend((child, text) for child in (node.children or {}).values())
 
     def spill(self) -> Iterator[tuple[bytes, int | None, int]]:
         """Give out and forget the heaviest subtree of the root."""
@@ -90,8 +96,8 @@ class Trie:
             total, stack = 0, [top]
             while stack:
                 node = stack.pop()
-                total += len(node.label)
-                stack.extend(node.children.values())
+                total += len(node.label) + NODE_BYTES
+                stack.extend((node.children or {}).values())
             return total
 
         first, heaviest = max(self.root.children.items(), key=lambda item: weight(item[1]))
