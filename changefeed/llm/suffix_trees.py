@@ -16,7 +16,9 @@ prefixes end in an anchor form a group, and a run of neighbours travels as one t
    documents is settled there but for the smallest one, so a passage that a third of all
    documents share leaves each task once. The rest are dealt out by anchor. Where an anchor
    has more documents than a task should hold, the prefix is lengthened to the whole window.
-3. A task sorts the suffixes of a group, which puts those of a node next to each other.
+3. A task sorts the suffixes of a group by words. The common prefixes of neighbours give the
+   internal nodes; those of depth ``width`` or more that also differ in the word before are the
+   maximal repeats, and all documents below one but the smallest lose the passage.
 4. Words covered by a settled window are removed from the documents.
 """
 
@@ -255,27 +257,58 @@ def _suffix_runs(width: int, anchor: int):
 MARKS = "doc_id long, text_hash long, start int, windows int"
 
 
-def subtree(runs: list[tuple], width: int) -> list[tuple[int, int, int]]:
-    """Windows of a group's suffixes that have a smaller document below their node.
-
-    ``runs`` has (doc_id, text_hash, start, windows, text, also). Sorted suffixes of a node of
-    depth ``width`` are neighbours; a suffix is cut to that depth.
+def deep_nodes(suffixes: list[tuple], width: int) -> Iterator[tuple[int, int, int]]:
+    """Internal nodes of depth ``width`` or more of the tree over sorted suffixes, from the
+    leaves up: depth in words, and the range of the suffixes below."""
+    open_nodes: list[tuple[int, int]] = []  # depth, first suffix
+    last = len(suffixes)
+    for i in range(1, last + 1):
+        depth = 0
+        if i < last:
+            a, b = suffixes[i - 1], suffixes[i]
+            if a[:width] == b[:width]:
+                depth = min(len(a), len(b))
+                if a[:depth] != b[:depth]:
+                    depth = next(k for k in range(width, depth) if a[k] != b[k])
+        first = i - 1
+        while open_nodes and open_nodes[-1][0] > depth:
+            node_depth, first = open_nodes.pop()
+            yield node_depth, first, i
+        if depth and (not open_nodes or open_nodes[-1][0] < depth):
+            open_nodes.append((depth, first))
+
+
+def maximal_repeats(runs: list[tuple], width: int) -> Iterator[tuple[int, list[tuple[int, int, int]]]]:
+    """Passages of ``width`` words or more that repeat and go on differently on both sides.
+
+    ``runs`` has (doc_id, text_hash, start, windows, text, also). A passage is its number of
+    words and its places: doc_id, run, word of the run. A deep node whose suffixes all follow
+    the same word is left out: it ends the longer passage of the node one word before.
     """
-    suffixes = []
-    for number, (doc_id, _, _, windows, run, _) in enumerate(runs):
-        words = run.split(b" ")
-        if windows == 1:
-            suffixes.append((run, doc_id, number, 0))
-        else:
-            suffixes.extend((b" ".join(words[k : k + width]), doc_id, number, k) for k in range(windows))
-    suffixes.sort()
-    repeated, node, least = [], None, 0
-    for suffix, doc_id, number, k in suffixes:
-        if suffix != node:
-            node, least = suffix, doc_id
-        elif doc_id > least:
-            repeated.append((number, k))
-    return repeated
+    words = [run[4].split(b" ") for run in runs]
+    leaves = [(tuple(words[r][k:]), runs[r][0], r, k) for r in range(len(runs)) for k in range(runs[r][3])]
+    leaves.sort(key=lambda leaf: leaf[0])
+    for depth, first, end in deep_nodes([leaf[0] for leaf in leaves], width):
+        below = leaves[first:end]
+        _, _, r, k = below[0]
+        before = words[r][k - 1] if k else None
+        if before is None or any(not k or words[r][k - 1] != before for _, _, r, k in below):
+            yield depth, [leaf[1:] for leaf in below]
+
+
+def subtree(runs: list[tuple], width: int) -> dict[tuple[int, int], int]:
+    """How many windows from (run, word) on also start in a smaller document of the group.
+
+    The smallest document below a node keeps its copy of the node's passage; the others
+    lose all windows of theirs.
+    """
+    lost: dict[tuple[int, int], int] = {}
+    for depth, places in maximal_repeats(runs, width):
+        least = min(doc_id for doc_id, _, _ in places)
+        for doc_id, r, k in places:
+            if doc_id > least:
+                lost[r, k] = max(lost.get((r, k), 0), depth - width + 1)
+    return lost
 
 
 def _trees(width: int):
@@ -287,21 +320,12 @@ def _trees(width: int):
         current = None
 
         def close() -> None:
-            by_run: dict[int, list[int]] = {}
-            if len(group) > 1:
-                for number, k in subtree(group, width):
-                    by_run.setdefault(number, []).append(k)
-            for number, offsets in by_run.items():
+            lost = subtree(group, width) if len(group) > 1 else {}
+            for (number, k), windows in lost.items():
                 doc_id, text_hash, start, _, _, also = group[number]
+                out.append((doc_id, text_hash, start + k, windows))
                 if also is not None:
-                    out.extend((doc_id, text_hash, k, 1) for k in np.frombuffer(also, np.int32).tolist())
-                offsets.sort()
-                first = previous = offsets[0]
-                for k in [*offsets[1:], None]:
-                    if k is None or k != previous + 1:
-                        out.append((doc_id, text_hash, start + first, previous - first + 1))
-                        first = k
-                    previous = k
+                    out.extend((doc_id, text_hash, place, 1) for place in np.frombuffer(also, np.int32).tolist())
             group.clear()
 
         def flushed() -> pa.RecordBatch:
