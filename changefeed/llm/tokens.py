@@ -4,7 +4,7 @@ Both vocabularies split a text at white space before they merge, so a text's ids
 those of its pieces, one after the other. A batch is cut at spaces and line ends and its
 pieces are numbered, all in Arrow; only pieces that the worker has not met yet go through
 the tokenizer, many in one call; the ids of all texts are then gathered in one step. What
-is remembered is bounded. Texts in which such a cut could matter are encoded whole.
+is remembered is bounded: where it grows too much, the pieces met least go. Texts in which such a cut could matter are encoded whole.
 """
 
 from __future__ import annotations
@@ -23,6 +23,8 @@ REMEMBERED = 900_000
 TEXTS = 2_000
 # With two white spaces in a row, byte-level tokens may span a cut between them.
 DOUBLE = r"[\t-\r\x{85}\p{Z}]{2}"
+# Letters, numbers and ASCII signs but "<": one part between two marks.
+SIMPLE = r"[\p{L}\p{N}!-;=-~]+$"
 _LOADED: dict[tuple[str, str], Encoder] = {}
 
 
@@ -43,6 +45,22 @@ class Encoder:
         self.slot: dict[str, int] = {}
         self.ids, self.used = np.zeros(1 << 20, np.uint32), 0
         self.first, self.length = np.zeros(1 << 18, np.int64), np.zeros(1 << 18, np.int32)
+        # In how many calls a piece was met since it was learned or last kept.
+        self.met = np.zeros(1 << 18, np.int32)
+
+    def forget_rare(self) -> None:
+        """Keep the pieces met most often, half of ``REMEMBERED`` at most."""
+        met, pieces = self.met[: len(self.slot)], list(self.slot)
+        least = 2
+        while np.count_nonzero(met >= least) > REMEMBERED // 2:
+            least *= 2
+        kept = np.flatnonzero(met >= least)
+        first, length = self.first[kept], self.length[kept].astype(np.int64)
+        ends = np.cumsum(length)
+        total = int(ends[-1]) if len(ends) else 0
+        ids = self.ids[np.repeat(first - (ends - length), length) + np.arange(total)]
+        self.forget()
+        self._store([pieces[i] for i in kept.tolist()], ids, length)
 
     def whole(self, text: str) -> np.ndarray:
         found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
@@ -69,7 +87,7 @@ class Encoder:
         longer = np.flatnonzero(cut < pc.utf8_length(text).to_numpy(zero_copy_only=False))
         tails = [t[c:] for t, c in zip(text.take(pa.array(longer)).to_pylist(), cut[longer].tolist(), strict=True)]
         coded = pa.concat_arrays([base.cast(pa.string()), pa.array(tails, pa.string())]).dictionary_encode()
-        ids, first, length = self._encoded(coded.dictionary.to_pylist())
+        ids, first, length = self._encoded(coded.dictionary)
         number = coded.indices.to_numpy(zero_copy_only=False)
         # A piece is up to three parts: the line end, the base, the punctuation.
         parts = np.zeros((len(new), 3, 2), np.int64)
@@ -84,11 +102,14 @@ class Encoder:
         joined = ids[np.repeat(starts - (ends - lengths), lengths) + np.arange(ends[-1])]
         self._store(new.to_pylist(), joined, parts[:, :, 1].sum(axis=1))
 
-    def _encoded(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def _encoded(self, coded: pa.StringArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The ids of all parts, and where each one's begin and how many they are."""
-        plain = []
-        for i, part in enumerate(parts):
-            text = part[1:] if self.byte and part[:1] == " " else part
+        parts = coded.to_pylist()
+        simple = pc.match_substring_regex(coded, ("^ ?" if self.byte else "^") + SIMPLE)
+        simple = simple.to_numpy(zero_copy_only=False)
+        plain = np.flatnonzero(simple).tolist()
+        for i in np.flatnonzero(~simple).tolist():
+            text = parts[i][1:] if self.byte and parts[i][:1] == " " else parts[i]
             # Others, among them the names of special tokens, go one by one.
             if text and text.isprintable() and " " not in text and "<" not in text and not text.isspace():
                 plain.append(i)
@@ -117,9 +138,11 @@ class Encoder:
         while end > len(self.first):
             self.first = np.concatenate([self.first, np.zeros_like(self.first)])
             self.length = np.concatenate([self.length, np.zeros_like(self.length)])
+            self.met = np.concatenate([self.met, np.zeros_like(self.met)])
         self.ids[self.used : self.used + len(ids)] = ids
         self.first[at:end] = self.used + np.cumsum(length) - length
         self.length[at:end] = length
+        self.met[at:end] = 1
         self.slot.update(zip(pieces, range(at, end), strict=True))
         self.used += len(ids)
 
@@ -163,8 +186,9 @@ class Encoder:
         coded = lists.flatten().dictionary_encode()
         unique, number = coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False)
         if len(self.slot) > REMEMBERED:
-            self.forget()
+            self.forget_rare()
         found = np.array([self.slot.get(p, -1) for p in unique], np.int64)
+        self.met[found[found >= 0]] += 1
         if len(new := np.flatnonzero(found < 0)):
             found[new] = len(self.slot) + np.arange(len(new))
             self.learn(coded.dictionary.take(pa.array(new)))
