@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from changefeed.functions.text import page_position, page_token
 from changefeed.functions.times import moment, seconds_between
+from changefeed.operators.quantiles import exact_quantiles
 
 _ENTITY = ["entity_type", "entity_key"]
 
@@ -227,17 +228,30 @@ def lag_stats(log: DataFrame) -> DataFrame:
     """Lag of all events of a log (or of a time window of it), from change to table and
     for its two legs."""
     legs = {
-        "end_to_end": seconds_between(F.col("processed_at"), F.col("occurred_at")),
-        "capture": seconds_between(F.col("captured_at"), F.col("occurred_at")),
-        "delivery": seconds_between(F.col("processed_at"), F.col("captured_at")),
+        "end_to_end": ("processed_at", "occurred_at"),
+        "capture": ("captured_at", "occurred_at"),
+        "delivery": ("processed_at", "captured_at"),
     }
-    measured = log.select(*[lag.alias(name) for name, lag in legs.items()])
+    micros = log.select(
+        *[(F.unix_micros(late) - F.unix_micros(early)).alias(name) for name, (late, early) in legs.items()]
+    )
+    found = exact_quantiles(micros, [0.5, 0.95])
+
+    def percentile(name: str, fraction: float) -> Column:
+        if found[name, fraction] is None:
+            return F.lit(None).cast("double")
+        lower, upper, weight = found[name, fraction]
+        return F.round(F.lit((1 - weight) * (lower / 1e6) + weight * (upper / 1e6)), 3)
+
+    measured = log.select(
+        *[seconds_between(F.col(late), F.col(early)).alias(name) for name, (late, early) in legs.items()]
+    )
     figures = [F.count(F.lit(1)).alias("sample_size")]
     for name in legs:
         figures += [
             F.round(F.avg(name), 3).alias(f"{name}_avg"),
-            F.round(F.percentile(name, F.lit(0.5)), 3).alias(f"{name}_p50"),
-            F.round(F.percentile(name, F.lit(0.95)), 3).alias(f"{name}_p95"),
+            percentile(name, 0.5).alias(f"{name}_p50"),
+            percentile(name, 0.95).alias(f"{name}_p95"),
             F.round(F.max(name), 3).alias(f"{name}_max"),
         ]
     return measured.agg(*figures)
