@@ -65,18 +65,21 @@ def with_sequence(records: DataFrame, spans: DataFrame, into: str = "log_seq") -
     )
 
 
-def range_ordered(df: DataFrame, *order: str) -> DataFrame:
+def range_ordered(df: DataFrame, *order: str, shared: str | None = None) -> DataFrame:
     """Sort over all rows, with ``_block`` and ``_row`` telling where each one is.
 
     ``_block`` numbers the range partitions in order, ``_row`` the rows inside.
     They belong to this one run, so the caller writes the result before reading
-    it more than once (see ``session.stage``).
+    it more than once (see ``session.stage``). ``shared`` names a column for how many rows
+    have a row's place in the order: they are neighbours in one range partition, so
+    counting them moves and sorts nothing.
     """
     place = F.monotonically_increasing_id()
+    ordered = df.repartitionByRange(*[F.col(name) for name in order]).sortWithinPartitions(*order)
+    if shared is not None:
+        ordered = ordered.withColumn(shared, F.count(F.lit(1)).over(Window.partitionBy(*order)))
     return (
-        df.repartitionByRange(*[F.col(name) for name in order])
-        .sortWithinPartitions(*order)
-        .withColumn("_place", place)
+        ordered.withColumn("_place", place)
         .withColumn("_block", F.shiftright("_place", 33).cast("int"))
         .withColumn("_row", F.col("_place").bitwiseAND(F.lit((1 << 33) - 1)))
         .drop("_place")

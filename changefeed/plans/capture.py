@@ -22,7 +22,7 @@ from changefeed.streaming.tables import path_exists
 
 BATCH_SIZE = 2_000
 SETTLE_SECONDS = 10
-_INTERNAL = ("_block", "_row", "_rank", "_batch", "_partition")
+_INTERNAL = ("_block", "_row", "_shared", "_rank", "_batch", "_partition")
 
 
 @dataclass(frozen=True)
@@ -123,13 +123,11 @@ class Capture:
         bound = changes.settle_bound(moment(now), self.settle_seconds)
         changed = changes.changed_since(source, spec, state.cursor, bound)
         staged = stage(
-            positions.range_ordered(changed, spec.updated_at, spec.key),
+            changes.in_order(changed, spec),
             "capture",
             path=f"{self.root}/staging",
         )
-        total = self._check_contract(staged)
-        if changes.order_violations(staged, spec, state.cursor).limit(1).count():
-            raise changes.ContractError("two rows share one (updated_at, key), or one is not new")
+        total = self._check_contract(staged, state.cursor)
         ranked = positions.with_rank(staged, "_rank")
         ranked = ranked.withColumn("_batch", batch_number(F.col("_rank"), self.batch_size))
         rows = total
@@ -165,13 +163,20 @@ class Capture:
         )
         return CycleResult(state.mode, last["batch_no"] + 1, rows, caught_up)
 
-    def _check_contract(self, fetched: DataFrame) -> int:
-        """The number of rows, all of which keep the contract."""
-        counted = changes.contract_violations(fetched, self.spec, F.count(F.lit(1)).alias("rows"))
+    def _check_contract(self, staged: DataFrame, since: changes.Position | None) -> int:
+        """The number of rows, all of which keep the contract and the order; one scan."""
+        counted = changes.contract_violations(
+            staged,
+            self.spec,
+            F.count(F.lit(1)).alias("rows"),
+            F.count_if(changes.misplaced(staged, self.spec, since)).alias("misplaced"),
+        )
         found = counted.first().asDict()
-        total = found.pop("rows")
+        total, out_of_order = found.pop("rows"), found.pop("misplaced")
         if any(found.values()):
             raise changes.ContractError(f"rows break the source contract: {found}")
+        if out_of_order:
+            raise changes.ContractError("two rows share one (updated_at, key), or one is not new")
         return total
 
     def _end(

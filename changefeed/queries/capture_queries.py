@@ -256,7 +256,7 @@ def order_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderkey", F.col("o_orderdate").alias("updated_at")
     )
     repeated = rows.unionByName(rows.where(F.col("o_orderkey") % 29 == 0))
-    found = changes.order_violations(repeated, SPEC, CURSOR)
+    found = changes.order_violations(changes.in_order(repeated, SPEC), SPEC, CURSOR)
     return found.withColumn("updated_at", F.unix_micros("updated_at"))
 
 
