@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changefeed.operators import resolve
-from changefeed.operators.rules import load_rules, with_severity
+from changefeed.operators.rules import RuleSet, load_rules, parse_rules, with_severity
 from changefeed.plans import reads
 from changefeed.plans.materialize import resolve_epoch
-from changefeed.plans.replay import converged, replay, state_differences
+from changefeed.plans.replay import converged, rejudge, replay, state_differences
 from changefeed.queries import query
 from changefeed.queries.sql import with_records, with_verdicts
 from changefeed.queries.tables import examined, sink
@@ -235,6 +235,22 @@ def state_after_epochs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.drop("source", "updated_at").withColumn("occurred_at", F.unix_micros("occurred_at"))
 
 
+@query("rejudged_state", with_verdicts(_STATE))
+def rejudged_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same state when a stricter rule set held back the orders of many customers first."""
+    bound = {
+        "name": "customer_below_bound", "description": "Customers up to a bound.", "check": "max",
+        "value": 50, "field": "o_custkey", "severity": "reject",
+    }
+    shipped, extra = load_rules(), parse_rules({"version": 1, "entities": {"order": [bound]}})
+    strict = RuleSet({**shipped.entities, "order": shipped.entities["order"] + extra.entities["order"]})
+    tables = Generations(spark, f"{shared_dir(spark)}/changefeed/rejudged-{uuid.uuid4().hex}").current()
+    resolve_epoch(change_log(spark, sf_dir), tables, strict)
+    rejudge(tables, shipped)
+    rows = tables.current_state()
+    return rows.drop("source", "updated_at").withColumn("occurred_at", F.unix_micros("occurred_at"))
+
+
 @query(
     "merged_state",
     with_verdicts(_STATE),

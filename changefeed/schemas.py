@@ -138,6 +138,8 @@ QUARANTINE = {
     "quarantined_at": "timestamp",
 }
 
+# What a later rule set has judged again, whatever became of it.
+REJUDGED = {"quarantine_id": "string", "ruleset_fingerprint": "string"}
 OUTCOMES = {"outcome": "string", "records": "bigint"}
 OFFSETS = {"topic": "string", "partition": "int", "committed_offset": "bigint"}
 COMMIT = {

@@ -20,6 +20,7 @@ from changefeed.schemas import (
     OUTCOMES,
     QUARANTINE,
     RECORDS,
+    REJUDGED,
     STATE,
     ddl,
 )
@@ -141,6 +142,10 @@ class Tables:
     def quarantine(self, before: int | None = None) -> DataFrame:
         return self._read("quarantine", QUARANTINE, self._end(before)).drop("epoch")
 
+    def rejudged(self) -> DataFrame:
+        """The quarantined events that ran again, by the rule set that judged them then."""
+        return self._read("rejudged", REJUDGED, self._end(None)).drop("epoch")
+
     def outcomes(self, before: int | None = None) -> DataFrame:
         """Records per outcome over all epochs."""
         rows = self._read("outcomes", OUTCOMES, self._end(before))
