@@ -291,13 +291,20 @@ def links(fps: DataFrame, *, most: int = MOST_BITS, block: int = BLOCK) -> DataF
     return direct.unionByName(more)
 
 
-def _rooted(
+def linked_rows(
     documents: DataFrame, *, most: int = MOST_BITS, width: int = SHINGLE, block: int = BLOCK
-) -> tuple[DataFrame, DataFrame]:
-    """Rows with their fingerprint (and a hash of id and text), and fingerprints with their root."""
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows with their fingerprint (and a hash of id and text), the fingerprints once, and
+    the links between them."""
     marked = written(fingerprints(documents, width=width), "fingerprints")
     distinct = written(marked.select("fp").distinct(), "distinct-fingerprints")
-    labels = components(links(distinct, most=most, block=block))
+    return marked, distinct, links(distinct, most=most, block=block)
+
+
+def _rooted(documents: DataFrame, **options: int) -> tuple[DataFrame, DataFrame]:
+    """Rows with their fingerprint (and a hash of id and text), and fingerprints with their root."""
+    marked, distinct, linked = linked_rows(documents, **options)
+    labels = components(linked)
     roots = distinct.join(labels, distinct["fp"] == labels["node"], "left").select(
         F.col("fp").alias("__fp"), F.coalesce("label", "fp").alias("root")
     )

@@ -5,6 +5,8 @@ shares none with a probability of (1 - 0.8^6)^40 < 1e-5. One byte of each of the
 kept as a signature; a pair is compared further if two thirds of the bytes agree, which a pair
 at 0.8 misses by five standard deviations. Every link is verified on the sets themselves.
 
+Pairs that op6's fingerprints link (``golay``) are candidates, too, whatever their bands.
+
 No pairs of a band are listed. First each text of a band is compared with one of them,
 another one in every band, which joins a large group by as many pairs as it has texts. Then
 the texts of a band that are not linked yet meet in a task, in blocks of bounded size, which
@@ -23,7 +25,7 @@ from pyspark.sql import functions as F
 
 from changefeed.llm.common import fresh, mixed, run_starts, texts, window_hashes, word_hashes, written
 from changefeed.llm.components import components
-from changefeed.llm.golay import _row_hash
+from changefeed.llm.golay import _row_hash, linked_rows
 
 SHINGLE = 5
 LEAST = 0.8
@@ -244,12 +246,27 @@ def meetings(shared: DataFrame, labels: DataFrame, block: int) -> DataFrame:
     )
 
 
+def by_fingerprint(documents: DataFrame, marked: DataFrame) -> DataFrame:
+    """The pairs of nodes that op6's fingerprints link: nodes of one fingerprint with the
+    lowest of them, and the lowest ones of two linked fingerprints."""
+    rows, _, linked = linked_rows(documents)
+    of_fp = marked.select("row", "node").join(rows.select("row", "fp"), "row").select("fp", "node").distinct()
+    of_fp = written(of_fp, "fingerprint-nodes")
+    lowest = of_fp.groupBy("fp").agg(F.min("node").alias("low"))
+    one, two = (lowest.select(F.col("fp").alias(n), F.col("low").alias(f"low_{n}")) for n in "ab")
+    across = linked.select("a", "b").join(one, "a").join(two, "b").select("low_a", "low_b")
+    pairs = of_fp.join(lowest, "fp").select("low", "node").union(across).toDF("a", "b").where("a <> b")
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def links(documents: DataFrame, marked: DataFrame, width: int, least: float, *, block: int = BLOCK) -> DataFrame:
     """Pairs of nodes that connect what all pairs of a similarity of ``least`` connect."""
+    linked = written(by_fingerprint(documents, marked), "fingerprint-pairs")
     nodes = marked.groupBy("node").agg(F.first("keys").alias("keys"))
     dealt = nodes.select("node", F.explode("keys").alias("key")).repartition("key").sortWithinPartitions("key")
     found = written(dealt.mapInArrow(_shared, "key long, node long, number long"), "shared-bands")
-    of_node = found.select("node").distinct().join(
+    nodes = found.select("node").union(linked.select("a")).union(linked.select("b")).distinct()
+    of_node = nodes.join(
         marked.groupBy("node").agg(F.min("row").alias("row"), F.first("signature").alias("signature")), "node"
     )
     of_node = written(of_node, "shared-nodes")
@@ -266,7 +283,8 @@ def links(documents: DataFrame, marked: DataFrame, width: int, least: float, *,
     sets = written(source.mapInArrow(sets_of, "node long, shingles binary"), "shingle-sets")
 
     dealt = shared.withColumn("order", F.xxhash64("key", "node")).repartition("key").sortWithinPartitions("key", "order")
-    pairs = dealt.select("key", "node", "signature").mapInArrow(_pivots, "a long, b long").distinct()
+    pairs = dealt.select("key", "node", "signature").mapInArrow(_pivots, "a long, b long")
+    pairs = pairs.unionByName(linked).distinct()
     close = written(verified(pairs, sets, least), "near-pivots")
     met = meetings(shared, components(close), block)
     names = ["key", "i", "j"]

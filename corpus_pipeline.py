@@ -27,7 +27,10 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by a similarity of 0.8 or more the smallest ``doc_id``."""
+    """Of documents linked by a similarity of 0.8 or more the smallest ``doc_id``.
+
+    Candidates are linked by fingerprints (Golay-code keys), or share a band of MinHash values.
+    """
     return overlap.without_near_copies(docs)
 
 
