@@ -265,8 +265,8 @@ def links(documents: DataFrame, marked: DataFrame, width: int, least: float, *,
     nodes = marked.groupBy("node").agg(F.first("keys").alias("keys"))
     dealt = nodes.select("node", F.explode("keys").alias("key")).repartition("key").sortWithinPartitions("key")
     found = written(dealt.mapInArrow(_shared, "key long, node long, number long"), "shared-bands")
-    nodes = found.select("node").union(linked.select("a")).union(linked.select("b")).distinct()
-    of_node = nodes.join(
+    ids = found.select("node").union(linked.select("a")).union(linked.select("b")).distinct()
+    of_node = ids.join(
         marked.groupBy("node").agg(F.min("row").alias("row"), F.first("signature").alias("signature")), "node"
     )
     of_node = written(of_node, "shared-nodes")
