@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from changefeed.llm.common import run_starts, texts, written
+from changefeed.llm.common import giving_back, run_starts, texts, written
 from changefeed.llm.components import components
 
 SHINGLE = 4
@@ -75,7 +75,7 @@ def fingerprints(documents: DataFrame, *, width: int = SHINGLE) -> DataFrame:
     source = documents.select(
         F.col("doc_id").cast("long"), _row_hash().alias("row"), F.col("text").cast("string")
     )
-    return source.mapInArrow(run, "doc_id long, row long, fp long")
+    return source.mapInArrow(giving_back(run), "doc_id long, row long, fp long")
 
 
 @lru_cache(maxsize=1)
@@ -268,9 +268,9 @@ def links(fps: DataFrame, *, most: int = MOST_BITS, block: int = BLOCK) -> DataF
                     [pa.array(keys.view(np.int64)), pa.array(owners.view(np.int64))], ["key", "fp"]
                 )
 
-    rows = fps.select("fp").mapInArrow(keyed, "key long, fp long")
+    rows = fps.select("fp").mapInArrow(giving_back(keyed), "key long, fp long")
     dealt = rows.repartition("key").sortWithinPartitions("key")
-    found = written(dealt.mapInArrow(_linker(most, block), LINKS), "links")
+    found = written(dealt.mapInArrow(giving_back(_linker(most, block)), LINKS), "links")
     large = found.where("key IS NOT NULL").select("key", F.col("a").alias("fp"))
     direct = found.where("key IS NULL").select("a", "b")
     if large.isEmpty():

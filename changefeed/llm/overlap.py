@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from changefeed.llm.common import fresh, mixed, run_starts, texts, window_hashes, word_hashes, written
+from changefeed.llm.common import fresh, giving_back, mixed, run_starts, texts, window_hashes, word_hashes, written
 from changefeed.llm.components import components
 from changefeed.llm.golay import _row_hash, linked_rows
 
@@ -86,7 +86,7 @@ def marks(documents: DataFrame, width: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "row", "node", "keys", "signature"])
 
     source = documents.select(F.col("doc_id").cast("long"), _row_hash().alias("row"), F.col("text").cast("string"))
-    return source.mapInArrow(run, "doc_id long, row long, node long, keys array<long>, signature binary")
+    return source.mapInArrow(giving_back(run), "doc_id long, row long, node long, keys array<long>, signature binary")
 
 
 def _whole_runs(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[list[np.ndarray]]:
@@ -219,7 +219,7 @@ def verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     ones = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
     others = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
     joined = pairs.join(ones, "a").join(others, "b").select("a", "b", "sa", "sb")
-    return joined.mapInArrow(run, "a long, b long")
+    return joined.mapInArrow(giving_back(run), "a long, b long")
 
 
 def meetings(shared: DataFrame, labels: DataFrame, block: int) -> DataFrame:
@@ -264,7 +264,7 @@ def links(documents: DataFrame, marked: DataFrame, width: int, least: float, *,
     linked = written(by_fingerprint(documents, marked), "fingerprint-pairs")
     nodes = marked.groupBy("node").agg(F.first("keys").alias("keys"))
     dealt = nodes.select("node", F.explode("keys").alias("key")).repartition("key").sortWithinPartitions("key")
-    found = written(dealt.mapInArrow(_shared, "key long, node long, number long"), "shared-bands")
+    found = written(dealt.mapInArrow(giving_back(_shared), "key long, node long, number long"), "shared-bands")
     ids = found.select("node").union(linked.select("a")).union(linked.select("b")).distinct()
     of_node = ids.join(
         marked.groupBy("node").agg(F.min("row").alias("row"), F.first("signature").alias("signature")), "node"
@@ -280,10 +280,10 @@ def links(documents: DataFrame, marked: DataFrame, width: int, least: float, *,
     rows = of_node.select("row", "node")
     source = documents.select(_row_hash().alias("row"), F.col("text").cast("string")).join(rows, "row")
     source = source.dropDuplicates(["row"]).select("node", "text")
-    sets = written(source.mapInArrow(sets_of, "node long, shingles binary"), "shingle-sets")
+    sets = written(source.mapInArrow(giving_back(sets_of), "node long, shingles binary"), "shingle-sets")
 
     dealt = shared.withColumn("order", F.xxhash64("key", "node")).repartition("key").sortWithinPartitions("key", "order")
-    pairs = dealt.select("key", "node", "signature").mapInArrow(_pivots, "a long, b long")
+    pairs = dealt.select("key", "node", "signature").mapInArrow(giving_back(_pivots), "a long, b long")
     pairs = pairs.unionByName(linked).distinct()
     close = written(verified(pairs, sets, least), "near-pivots")
     met = meetings(shared, components(close), block)

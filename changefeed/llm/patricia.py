@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from changefeed.llm.common import ascii_lower
+from changefeed.llm.common import ascii_lower, giving_back
 
 # Memory that a trie holds, labels and nodes, before it gives out a subtree.
 TRIE_BYTES = 128 << 20
@@ -157,9 +157,9 @@ def owners(documents: DataFrame, *, keep: str = "min", trie_bytes: int = TRIE_BY
         F.col("doc_id").cast("long").alias("owner"),
         F.lit(1).cast("long").alias("rows"),
     )
-    local = source.mapInArrow(_merged(keep, trie_bytes, False), "text binary, owner long, rows long")
+    local = source.mapInArrow(giving_back(_merged(keep, trie_bytes, False)), "text binary, owner long, rows long")
     dealt = local.repartition(F.octet_length("text"), F.xxhash64("text"))
-    parts = dealt.mapInArrow(_merged(keep, trie_bytes, True), "digest string, owner long, rows long")
+    parts = dealt.mapInArrow(giving_back(_merged(keep, trie_bytes, True)), "digest string, owner long, rows long")
     best = F.max("owner") if keep == "max" else F.min("owner")
     return parts.groupBy("digest").agg(best.alias("owner"), F.sum("rows").alias("rows"))
 

@@ -18,6 +18,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
+from changefeed.llm.common import give_back
+
 REMEMBERED = 900_000
 # Texts whose pieces are numbered together.
 TEXTS = 2_000
@@ -161,6 +163,7 @@ class Encoder:
         found = [self._some(texts.slice(at, TEXTS), end_id) for at in range(0, len(texts), TEXTS)]
         if collecting:
             gc.enable()
+        give_back()  # new pieces leave more behind than is remembered of them
         ids = np.concatenate([i for i, _ in found] or [np.zeros(0, np.uint32)])
         edges = np.concatenate([[0], np.cumsum(np.concatenate([n for _, n in found] or [np.zeros(0, np.int64)]))])
         return ids, edges
