@@ -7,11 +7,14 @@ at 0.8 misses by five standard deviations. Every link is verified on the sets th
 
 Pairs that op6's fingerprints link (``golay``) are candidates, too, whatever their bands.
 
-No pairs of a band are listed. First each text of a band is compared with one of them,
-another one in every band, which joins a large group by as many pairs as it has texts. Then
-the texts of a band that are not linked yet meet in a task, in blocks of bounded size, which
-keeps those whose signatures agree with one of another group; their sets are compared in a
-task, too, which returns as many links as join them. Texts with equal sets are one node.
+No pairs of a band are listed. In two rounds a text of each band, another one in every band
+and round, is a candidate for the others whose signatures agree with its own, and each text is
+compared with the likeliest of its candidates of another group; this joins most of a large
+group by as many pairs as it has texts. Then what is still apart is compared with one text in
+every band and with what the fingerprints link it to. Last, the texts of a band that are not
+linked yet meet in a task, in blocks of bounded size, which keeps those whose signatures agree
+with one of another group; their sets are compared in a task, too, which returns as many links
+as join them. Texts with equal sets are one node.
 """
 
 from __future__ import annotations
@@ -36,6 +39,8 @@ LIKELY = 0.66
 SHINGLES = 2_048
 # Nodes of a band that meet in one task; more are dealt into blocks, and all pairs of blocks meet.
 BLOCK = 4_096
+# Rounds in which each node is compared with one other.
+ROUNDS = 2
 
 _RANDOM = np.random.default_rng(11)
 _TIMES = _RANDOM.integers(0, 2**63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -124,22 +129,31 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def _pivots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The first node of each key with each other one that its signature agrees with."""
-    key = node = signature = None
+    """The first node ``a`` of each key with each other one ``b`` of another label that its
+    signature agrees with, and the share of equal bytes."""
+    key = node = label = signature = None
     for batch in batches:
         if not batch.num_rows:
             continue
-        keys, nodes = (batch.column(c).to_numpy() for c in ("key", "node"))
+        keys, nodes, labels = (batch.column(c).to_numpy() for c in ("key", "node", "label"))
         rows = _matrix(batch.column("signature"))
         starts = run_starts(keys)
         sizes = np.diff(np.append(starts, len(keys)))
-        first, pivot = np.repeat(nodes[starts], sizes), np.repeat(rows[starts], sizes, axis=0)
+        first, of_first, pivot = (np.repeat(v[starts], sizes, axis=0) for v in (nodes, labels, rows))
         if key == keys[0]:  # the key of the batch before goes on
-            first[: sizes[0]], pivot[: sizes[0]] = node, signature
-        key, node, signature = keys[-1], first[-1], pivot[-1].copy()
-        alike = ((rows == pivot).mean(axis=1) >= LIKELY) & (first != nodes)
-        pairs = np.sort(np.stack([first[alike], nodes[alike]], axis=1), axis=1)
-        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+            first[: sizes[0]], of_first[: sizes[0]], pivot[: sizes[0]] = node, label, signature
+        key, node, label, signature = keys[-1], first[-1], of_first[-1], pivot[-1].copy()
+        share = (rows == pivot).mean(axis=1)
+        alike = (share >= LIKELY) & (of_first != labels)
+        yield pa.RecordBatch.from_arrays([pa.array(c[alike]) for c in (first, nodes, share)], ["a", "b", "share"])
+
+
+def pivots(shared: DataFrame, labels: DataFrame, number: int) -> DataFrame:
+    """Pairs of the nodes of each key with the one of them that comes first in this round."""
+    rows = with_labels(shared, labels, "node", "label")
+    dealt = rows.withColumn("order", F.xxhash64("key", "node", F.lit(number)))
+    dealt = dealt.repartition("key").sortWithinPartitions("key", "order").select("key", "node", "label", "signature")
+    return dealt.mapInArrow(giving_back(_pivots), "a long, b long, share double")
 
 
 def _across(labels: np.ndarray, side: np.ndarray, rows: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -222,13 +236,32 @@ def verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     return joined.mapInArrow(giving_back(run), "a long, b long")
 
 
-def meetings(shared: DataFrame, labels: DataFrame, block: int) -> DataFrame:
+def with_labels(rows: DataFrame, labels: DataFrame, node: str, name: str) -> DataFrame:
+    """The rows with the label of ``node`` as ``name``; a node without one is its own."""
+    found = labels.select(F.col("node").alias("__node"), F.col("label").alias("__label"))
+    joined = rows.join(found, F.col(node) == F.col("__node"), "left")
+    return joined.withColumn(name, F.coalesce("__label", node)).drop("__node", "__label")
+
+
+def apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs of nodes with different labels, which ``one`` and ``two`` give."""
+    both = with_labels(with_labels(pairs.select("a", "b"), labels, "a", "one"), labels, "b", "two")
+    return both.where("one <> two")
+
+
+def merged(labels: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The labels when the pairs link their nodes, too; only links between labels are walked."""
+    between = apart(pairs, labels).select(F.col("one").alias("a"), F.col("two").alias("b"))
+    onward = components(between)
+    found = with_labels(labels.withColumnRenamed("label", "old"), onward, "old", "label")
+    return written(found.select("node", "label"), "near-labels")
+
+
+def meetings(labelled: DataFrame, block: int) -> DataFrame:
     """The nodes of keys with several labels, dealt so that each two blocks of a key meet once.
 
     ``key``, ``i`` and ``j`` name a meeting; ``side`` tells the two blocks apart.
     """
-    labelled = shared.join(labels.withColumnRenamed("node", "__node"), F.col("node") == F.col("__node"), "left")
-    labelled = labelled.select("key", "node", "number", "signature", F.coalesce("label", "node").alias("label"))
     mixed_keys = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
     open_rows = labelled.join(mixed_keys.where("low < high").select("key"), "key", "left_semi")
     placed = open_rows.withColumn("blocks", F.ceil(F.col("number") / block)).withColumn(
@@ -259,8 +292,9 @@ def by_fingerprint(documents: DataFrame, marked: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def links(documents: DataFrame, marked: DataFrame, width: int, least: float, *, block: int = BLOCK) -> DataFrame:
-    """Pairs of nodes that connect what all pairs of a similarity of ``least`` connect."""
+def groups(documents: DataFrame, marked: DataFrame, width: int, least: float, *, block: int = BLOCK) -> DataFrame:
+    """``node`` and ``label`` of the groups that all pairs of a similarity of ``least`` connect;
+    nodes that share nothing are left out."""
     linked = written(by_fingerprint(documents, marked), "fingerprint-pairs")
     nodes = marked.groupBy("node").agg(F.first("keys").alias("keys"))
     dealt = nodes.select("node", F.explode("keys").alias("key")).repartition("key").sortWithinPartitions("key")
@@ -282,16 +316,21 @@ def links(documents: DataFrame, marked: DataFrame, width: int, least: float, *,
     source = source.dropDuplicates(["row"]).select("node", "text")
     sets = written(source.mapInArrow(giving_back(sets_of), "node long, shingles binary"), "shingle-sets")
 
-    dealt = shared.withColumn("order", F.xxhash64("key", "node")).repartition("key").sortWithinPartitions("key", "order")
-    pairs = dealt.select("key", "node", "signature").mapInArrow(giving_back(_pivots), "a long, b long")
-    pairs = pairs.unionByName(linked).distinct()
-    close = written(verified(pairs, sets, least), "near-pivots")
-    met = meetings(shared, components(close), block)
+    labels = of_node.select("node", F.col("node").alias("label"))
+    for number in range(ROUNDS):  # of a node's candidates the likeliest one
+        likeliest = F.max_by("a", F.struct("share", "a")).alias("a")
+        best = pivots(shared, labels, number).groupBy("b").agg(likeliest)
+        labels = merged(labels, written(verified(best, sets, least), "near-pivots"))
+    # All that this leaves apart, and the links of the fingerprints.
+    rest = pivots(shared, labels, ROUNDS).select("a", "b").unionByName(apart(linked, labels).select("a", "b"))
+    rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    labels = merged(labels, written(verified(rest, sets, least), "near-pivots"))
+    met = meetings(with_labels(shared, labels, "node", "label"), block)
     names = ["key", "i", "j"]
     rows = "key long, i long, j long, side int, node long, label long, signature binary"
     unsettled = written(met.groupBy(*names).applyInArrow(_unsettled, rows), "unsettled")
     more = unsettled.join(sets, "node").groupBy(*names).applyInArrow(_settled(least), "a long, b long")
-    return close.unionByName(written(more, "near-links"))
+    return merged(labels, written(more, "near-links"))
 
 
 def without_near_copies(
@@ -302,7 +341,7 @@ def without_near_copies(
     last. Texts without words (null, empty) are one group. No rows give no rows. Rows are
     known by one 64-bit hash of id and text."""
     marked = written(marks(documents, width), "band-keys")
-    labels = components(links(documents, marked, width, least, block=block)).withColumnRenamed("node", "__node")
+    labels = groups(documents, marked, width, least, block=block).withColumnRenamed("node", "__node")
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first")
     lowest = marked.groupBy("node").agg(first)
     keep = (
