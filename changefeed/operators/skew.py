@@ -14,10 +14,10 @@ def attach_summary(
 ) -> DataFrame:
     """Left join ``rows`` to the one ``summary`` row of their text key.
 
-    Keys with more than ``HEAVY_ROWS`` rows are joined apart: there Spark broadcasts
-    their summaries if they are small, and else splits their partitions. Their rows, and
-    those without a key, enter the other join under a key of their own made from
-    ``spread``, so no task receives all copies of one key there.
+    Keys with more than ``HEAVY_ROWS`` rows are joined apart, by a broadcast: there is at
+    most one for that many rows. Their rows, and those without a key, enter the other join
+    under a key of their own made from ``spread``, so no task receives all copies of one
+    key there. So the rows are shuffled once.
     """
     values = [name for name in summary.columns if name not in (key, weight)]
     # Both sides below use every column and only non-null keys: then their plans
@@ -28,7 +28,7 @@ def attach_summary(
     plain = summary.select(F.col(key).alias("_key"), packed.alias("_plain"))
     dealt = F.concat(F.lit("#"), spread.cast("string"))
     joined = (
-        rows.join(heavy, key, "left")
+        rows.join(F.broadcast(heavy), key, "left")
         .withColumn(
             "_key",
             F.when(F.col("_heavy").isNotNull() | F.col(key).isNull(), dealt).otherwise(F.col(key)),
